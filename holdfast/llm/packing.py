@@ -21,7 +21,10 @@ columns of the input are not read.
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +41,7 @@ from .common import materialise, partitions, slices, texts
 CAPACITY = 4096
 END_ID = 1
 #: Distinct words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 PIECES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
 
@@ -47,7 +50,10 @@ class WordIds(dict):
     """Ids of each word as little-endian bytes, remembered within a bound.
 
     The tokenizer's normaliser and pre-tokenizer never join text across ASCII
-    white space, so a text's ids are those of its words in order.
+    white space, so a text's ids are those of its words in order. Nor do they join
+    letters or digits to the punctuation behind them, so a word that ends in
+    punctuation is looked up in two parts. Capitals fold before the look-up, but
+    for texts that may hold a special token's name.
     """
 
     def __init__(self, path: str, bound: int = CACHE_WORDS):
@@ -55,9 +61,15 @@ class WordIds(dict):
 
         super().__init__()
         self.encode, self.bound = Tokenizer.from_file(path).encode, bound
+        self.ends_in_marks = re.compile(rb"([a-z0-9]+)([!-/:-@\[-`{-~]+)").fullmatch
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if parts := self.ends_in_marks(word):
+            return self[parts[1]] + self[parts[2]]
+        ids = array("I", self.encode(word.decode(), add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        ids = ids.tobytes()
         if len(self) >= self.bound:
             self.clear()
         if len(word) <= 64:
@@ -65,7 +77,17 @@ class WordIds(dict):
         return ids
 
     def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
+
+
+_WORDS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The tokenizer at path, read and remembered once by each Python worker."""
+    if path not in _WORDS:
+        _WORDS[path] = WordIds(path)
+    return _WORDS[path]
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -73,7 +95,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(tokenizer)
+        ids = word_ids(tokenizer)
         for batch in slices(batches, "text"):
             rows, start, piece, length, crc = [], [], [], [], []
             for row, text in enumerate(texts(batch.column("text"))):
