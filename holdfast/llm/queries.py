@@ -25,6 +25,38 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_simhash(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_packing": op7_packing, "op8_simhash": op8_simhash}
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality_rules
+
+    return quality_rules(_read(spark, sf_dir, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .classifier import classify
+
+    return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    return round_trip(_read(spark, sf_dir, "pages"))
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(_read(spark, sf_dir, "embeddings"))
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .sentencepiece import round_trip
+
+    return round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_packing": op7_packing, "op8_simhash": op8_simhash, "op3_quality_rules": op3_quality_rules, "op9_quality_classifier": op9_quality_classifier, "op5_warc": op5_warc, "op6_exact_topk": op6_exact_topk, "op2_sentencepiece": op2_sentencepiece}
 
 ORACLE_SQL: dict[str, str] = {}
