@@ -57,6 +57,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_packing": op7_packing, "op8_simhash": op8_simhash, "op3_quality_rules": op3_quality_rules, "op9_quality_classifier": op9_quality_classifier, "op5_warc": op5_warc, "op6_exact_topk": op6_exact_topk, "op2_sentencepiece": op2_sentencepiece}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import dedup_suffixes
+
+    return dedup_suffixes(_read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_packing": op7_packing, "op8_simhash": op8_simhash, "op3_quality_rules": op3_quality_rules, "op9_quality_classifier": op9_quality_classifier, "op5_warc": op5_warc, "op6_exact_topk": op6_exact_topk, "op2_sentencepiece": op2_sentencepiece, "op10_suffix_dedup": op10_suffix_dedup}
 
 ORACLE_SQL: dict[str, str] = {}
