@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -18,6 +19,14 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if they can see that folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [x for x in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import importable
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -63,6 +66,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_suffixes(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_packing": op7_packing, "op8_simhash": op8_simhash, "op3_quality_rules": op3_quality_rules, "op9_quality_classifier": op9_quality_classifier, "op5_warc": op5_warc, "op6_exact_topk": op6_exact_topk, "op2_sentencepiece": op2_sentencepiece, "op10_suffix_dedup": op10_suffix_dedup}
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import score_documents
+
+    return score_documents(_read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_packing": op7_packing, "op8_simhash": op8_simhash, "op3_quality_rules": op3_quality_rules, "op9_quality_classifier": op9_quality_classifier, "op5_warc": op5_warc, "op6_exact_topk": op6_exact_topk, "op2_sentencepiece": op2_sentencepiece, "op10_suffix_dedup": op10_suffix_dedup, "op4_lm_scoring": op4_lm_scoring}
 
 ORACLE_SQL: dict[str, str] = {}
