@@ -182,9 +182,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score_documents(docs, fit(docs, labels))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs predicted to be good, with all their columns."""
-    model = fit(docs, labels)
+def keep_good(docs: DataFrame, labels: DataFrame, web: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs predicted to be good, with all their columns; learnt from the texts of web (default: docs)."""
+    model = fit(docs if web is None else web, labels)
 
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

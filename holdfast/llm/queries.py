@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import importable
 
@@ -14,6 +15,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard_documents
+
+    stored = shard_documents(_read(spark, sf_dir, "documents"))
+    return stored.select("doc_id", "lang", "source", "n_chars", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,6 +80,22 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_packing": op7_packing, "op8_simhash": op8_simhash, "op3_quality_rules": op3_quality_rules, "op9_quality_classifier": op9_quality_classifier, "op5_warc": op5_warc, "op6_exact_topk": op6_exact_topk, "op2_sentencepiece": op2_sentencepiece, "op10_suffix_dedup": op10_suffix_dedup, "op4_lm_scoring": op4_lm_scoring}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_packing": op7_packing, "op8_simhash": op8_simhash, "op3_quality_rules": op3_quality_rules, "op9_quality_classifier": op9_quality_classifier, "op5_warc": op5_warc, "op6_exact_topk": op6_exact_topk, "op2_sentencepiece": op2_sentencepiece, "op10_suffix_dedup": op10_suffix_dedup, "op4_lm_scoring": op4_lm_scoring, "op1_sharding": op1_sharding}
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_sharding": "SELECT doc_id, lang, source, n_chars, sha256(coalesce(text, '')) AS text_sha256 FROM documents",
+    "op5_warc": """
+        WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        sized AS (SELECT page_id, payload, strlen(payload) AS payload_bytes, max(page_id) OVER (PARTITION BY payload) AS first FROM payloads)
+        SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+        FROM sized""",
+    "op6_exact_topk": """
+        WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}

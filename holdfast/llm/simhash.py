@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, partitions, slices, texts
+from .common import materialise, partitions, row_key, slices, texts
 from .components import components, local_roots
 
 WORDS = 4
@@ -173,19 +173,32 @@ def near_links(distinct: DataFrame, n: int, radius: int = RADIUS, tile: int = TI
 
 
 def near_duplicates(marked: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """marked(doc_id, fingerprint, ...) with component_id, the smallest doc_id linked over any chain."""
-    marked = materialise(marked, "fingerprints")
+    """marked(doc_id, fingerprint, ...) with component_id, the smallest doc_id linked over any chain, and root, a fingerprint of its component."""
     distinct = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
     links = materialise(near_links(distinct, distinct.count(), radius, tile), "near")
     found = components(links)
     rooted = distinct.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     rooted = materialise(rooted, "rooted")
     least = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    named = materialise(rooted.join(least, "root").select("fingerprint", "component_id"), "named")
+    named = materialise(rooted.join(least, "root").select("fingerprint", "root", "component_id"), "named")
     return marked.join(named, "fingerprint")
 
 
 def dedup_simhash(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row of docs."""
-    marked = near_duplicates(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ("doc_id",), words), radius)
-    return marked.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+    marked = fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ("doc_id",), words)
+    found = near_duplicates(materialise(marked, "fingerprints"), radius)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_first_of_groups(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
+    """The rows of docs, with all their columns, less all but one of each group of near-duplicates.
+
+    The smallest id stays; a null id only where there is no other; of rows equal
+    in id and text any one.
+    """
+    rows = docs.select("*", *(c.alias(f"hf_{k}") for k, c in zip(("key_a", "key_b"), row_key("doc_id", "text"))))
+    marked = materialise(fingerprints(rows, ("doc_id", "hf_key_a", "hf_key_b"), words), "fingerprints")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hf_key_a", "hf_key_b")).alias("least")
+    first = materialise(near_duplicates(marked, radius).groupBy("root").agg(least).select("least.hf_key_a", "least.hf_key_b"), "first")
+    return rows.join(first, ["hf_key_a", "hf_key_b"], "left_semi").dropDuplicates(["hf_key_a", "hf_key_b"]).select(*docs.columns)
