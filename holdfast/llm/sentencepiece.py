@@ -24,6 +24,9 @@ and repeated rows are rows like any other; further columns are not read.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
+from bisect import insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +37,8 @@ from pyspark.sql import functions as F
 from .common import slices, texts
 
 MARK = "▁"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
+MOST_NEIGHBOURS = 2000
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
@@ -68,69 +72,89 @@ class PieceModel:
                 self.out[-1] = " ⁇ ".encode()
         self.longest = max(map(len, self.ids), default=1)
         self.least = min((s for s in self.scores.values()), default=0.0) - UNKNOWN_PENALTY
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.beginnings = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.pairs: dict[str, dict[str, bool]] = {}
         self.whole = {p for p in self.ids if self.kind != BPE or len(p) == 1 or self.merged(p) == [p]}
-        inner = re.compile(f"[^{MARK}]{MARK}|\n")
-        self.splits = not any(inner.search(p) for p in self.ids)
+        self.splits = not any(re.search(f"[^{MARK}]{MARK}|\n", p) for p in self.ids)
         self.after_space: dict[str, bytes] = {}
         self.after_line: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """The pieces of a short text by its merges: highest score first, then leftmost."""
+    def merged(self, text: str, bound: int = 0) -> list[str] | None:
+        """The pieces of a short text by its merges: highest score first, then leftmost; None once a merge spans the bound."""
+        score = self.scores.get
         parts = list(text)
+        ranks = [score(a + b) for a, b in zip(parts, parts[1:])]
         while True:
-            ranked = [(-self.scores[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in self.scores]
-            if not ranked:
+            best, at = None, -1
+            for k, r in enumerate(ranks):
+                if r is not None and (best is None or r > best):
+                    best, at = r, k
+            if best is None:
                 return parts
-            i = min(ranked)[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            if bound and at == bound - 1:
+                return None
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            bound -= at < bound
+            del ranks[at]
+            if at:
+                ranks[at - 1] = score(parts[at - 1] + parts[at])
+            if at < len(ranks):
+                ranks[at] = score(parts[at] + parts[at + 1])
 
     def fits(self, a: str, b: str) -> bool:
         """Whether the BPE pieces a and b may stand side by side."""
-        found = self.pairs.get((a, b))
+        after = self.pairs.get(a)
+        if after is None:
+            after = self.pairs[a] = {}
+        found = after.get(b)
         if found is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.merged(a + b) == [a, b]
+            if len(after) > MOST_NEIGHBOURS:
+                after.clear()
+            found = after[b] = self.merged(a + b, len(a)) is not None
         return found
 
     def search(self, text: str) -> Iterator[str]:
         """The pieces of the best path, each as soon as it is final."""
-        base, bpe = 0, self.kind == BPE
+        base, bpe, n = 0, self.kind == BPE, len(text)
+        beginnings, whole, fits = self.beginnings, self.whole, self.fits
         last: list[str] = [""]  # the piece that ends at boundary base + k
         cost: list[float] = [0.0]
-        for i in range(1, len(text) + 1):
-            best, piece_here = None, ""
-            for size in range(min(self.longest, i - base), 0, -1):
-                piece = text[i - size : i]
-                if piece not in self.whole and size > 1:
-                    continue
-                before = last[i - size - base]
-                if bpe:
-                    if not before or self.fits(before, piece):
-                        best, piece_here = 0.0, piece
-                        break
-                else:
-                    total = cost[i - size - base] + self.scores.get(piece, self.least)
-                    if best is None or total > best:
-                        best, piece_here = total, piece
-            if best is None:
+        for i in range(n):  # every piece that can start at boundary i
+            here = i - base
+            before = last[here] if here < len(last) else ""
+            if i and not before:
                 raise LookupError(text)
-            last.append(piece_here)
-            cost.append(best)
-            if i - base >= 4 * self.longest:
-                ends = sorted(range(i - self.longest + 1, i + 1))
+            stop = i + 1
+            while True:
+                piece = text[i:stop]
+                size = stop - i
+                if size == 1 or piece in whole:
+                    while len(last) <= here + size:
+                        last.append("")
+                        cost.append(0.0)
+                    if bpe:
+                        if not before or fits(before, piece):
+                            last[here + size] = piece
+                    else:
+                        total = cost[here] + self.scores.get(piece, self.least)
+                        if not last[here + size] or total > cost[here + size]:
+                            last[here + size], cost[here + size] = piece, total
+                stop += 1
+                if stop > n or text[i:stop] not in beginnings:
+                    break
+            if here >= 4 * self.longest:
+                ends = [base + k for k in range(here + 1, len(last)) if last[k]]
                 while len(ends) > 1:  # walk the furthest path back until all are one
                     back = ends.pop()
-                    back -= len(last[back - base])
-                    if back < ends[0]:
-                        ends.insert(0, back)
-                    elif back not in ends:
-                        ends.append(back)
-                        ends.sort()
-                if ends[0] > base:
+                    insort(ends, back - len(last[back - base]))
+                    ends = list(dict.fromkeys(ends))
+                if ends and ends[0] > base:
                     yield from self._path(last, ends[0] - base)
                     last, cost, base = last[ends[0] - base :], cost[ends[0] - base :], ends[0]
+        if text and not last[-1]:
+            raise LookupError(text)
         yield from self._path(last, len(last) - 1)
 
     @staticmethod
@@ -155,10 +179,27 @@ class PieceModel:
                 ids.extend(self.bytes[b] for b in piece.encode())
             elif not ids or ids[-1] != self.unknown or self.kind == BPE:
                 ids.append(self.unknown)
-        return np.array(ids, dtype="<u4").tobytes()
+        packed = array("I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _word(self, memory: dict[str, bytes], start: str, word: str) -> bytes:
-        ids = self.encode_run(start + word)
+        """The ids of a word, kept in memory; it falls apart where no piece joins two characters."""
+        word_ids, text, at = [], start + word, 0
+        for k in range(1, len(text) + 1):
+            if k == len(text) or text[k - 1 : k + 1] not in self.joined:
+                part = text[at:k]
+                found = self.parts.get(part)
+                if found is None:
+                    found = self.encode_run(part)
+                    if len(part) <= 48:
+                        if len(self.parts) >= CACHE_WORDS:
+                            self.parts.clear()
+                        self.parts[part] = found
+                word_ids.append(found)
+                at = k
+        ids = b"".join(word_ids)
         if len(word) <= 48:
             if len(memory) >= CACHE_WORDS:
                 memory.clear()
