@@ -48,7 +48,7 @@ def frequencies(df: DataFrame, column: str, top_n: int, normalize: bool = False)
 def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
     """Counts of rows against columns, a column per sorted value, 0 where there is none."""
     values = [r[0] for r in df.select(columns).where(F.col(columns).isNotNull()).distinct().orderBy(columns).collect()]
-    return df.groupBy(rows).pivot(columns, values).agg(F.count("*")).na.fill(0)
+    return df.groupBy(rows).pivot(columns, values).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def coverage(owners: DataFrame, labels: DataFrame, owner: str = "Owner_ID", label: str = "esa") -> DataFrame:

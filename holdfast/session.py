@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +24,11 @@ def session(name: str = "holdfast", master: str | None = None, shuffle_partition
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return (builder.enableHiveSupport() if hive else builder).getOrCreate()
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if they can see that folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [x for x in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
