@@ -74,6 +74,16 @@ class EliasFano:
         at = 64 * word + select_in_word(self.high[word], i - self.ones[word].astype(np.int64))
         return ((at - i).astype(U64) << U64(self.bits)) | self._low(i)
 
+    def _ended(self, upper: np.ndarray) -> np.ndarray:
+        """How many elements have high bits of at most `upper` (-1: none)."""
+        out = np.zeros(len(upper), np.int64)
+        out[upper >= self.top] = self.n
+        inside = np.flatnonzero((upper >= 0) & (upper < self.top))
+        rank = upper[inside]
+        word = np.searchsorted(self.zeros, rank.astype(np.uint32), side="right") - 1
+        out[inside] = 64 * word + select_in_word(~self.high[word], rank - self.zeros[word].astype(np.int64)) - rank
+        return out
+
     def find(self, x: np.ndarray) -> np.ndarray:
         """The index of the first element equal to each x, or -1."""
         out = np.full(len(x), -1, np.int64)
@@ -83,21 +93,19 @@ class EliasFano:
         if not len(active):
             return out
         upper, low = upper[active], x[active] & U64((1 << self.bits) - 1)
-        # the zero that ends the group before: its place tells the first element of this group
-        at = np.zeros(len(active), np.int64)
-        later = upper > 0
-        rank = upper[later] - 1
-        word = np.searchsorted(self.zeros, rank.astype(np.uint32), side="right") - 1
-        at[later] = 64 * word + select_in_word(~self.high[word], rank - self.zeros[word].astype(np.int64)) + 1
-        while len(active):
-            here = ((self.high[np.minimum(at >> 6, len(self.high) - 1)] >> (at & 63).astype(U64)) & U64(1)).astype(bool)
-            here &= (at >> 6) < len(self.high)
-            active, at, upper, low = active[here], at[here], upper[here], low[here]
-            value = self._low(at - upper)
-            hit = value == low
-            out[active[hit]] = (at - upper)[hit]
-            more = value < low
-            active, at, upper, low = active[more], at[more] + 1, upper[more], low[more]
+        # a group of equal high bits lies between two zeros; its low bits ascend, and it may be long
+        start, stop = self._ended(upper - 1), self._ended(upper)
+        end = stop.copy()
+        open_ = np.flatnonzero(start < stop)
+        while len(open_):
+            middle = (start[open_] + stop[open_]) >> 1
+            less = self._low(middle) < low[open_]
+            start[open_[less]] = middle[less] + 1
+            stop[open_[~less]] = middle[~less]
+            open_ = open_[start[open_] < stop[open_]]
+        some = np.flatnonzero(start < end)
+        hit = some[self._low(start[some]) == low[some]]
+        out[active[hit]] = start[hit]
         return out
 
 
