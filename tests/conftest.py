@@ -16,8 +16,3 @@ def spark():
     found.sparkContext.setLogLevel("ERROR")
     yield found
     found.stop()
-
-
-def rows(df):
-    """A frame's rows in a fixed order."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

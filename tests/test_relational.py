@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 
 from holdfast.operators import relational as R
 from holdfast.specs import JoinSpec
