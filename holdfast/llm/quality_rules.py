@@ -53,6 +53,7 @@ FEATURES = ("word_length", "symbols", "dup_lines", "repeats", "capitals")
 VARIANCE_FLOOR = (0.05**2, 0.08**2, 0.15**2, 0.15**2, 0.08**2)
 #: Lines and words added to a text's own, so that one repeated line of a short text is no outlier.
 MORE_LINES, MORE_WORDS = 8, 100
+MIX = np.uint64(0x9E3779B97F4A7C15)
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
 
 
@@ -64,7 +65,7 @@ def repeated_words(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, window
     at = np.flatnonzero(np.arange(n) + window <= ends[doc]) if n else np.empty(0, np.int64)
     if not len(at):
         return out
-    mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (ids.astype(np.uint64) + np.uint64(1)) * MIX
     mixed ^= mixed >> np.uint64(29)
     key = doc[at].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     for k in range(window):
