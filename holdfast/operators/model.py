@@ -32,14 +32,14 @@ def label_pipeline(df: DataFrame, spec: ModelSpec) -> tuple[Pipeline, RandomFore
     fields = [f for f in df.schema if f.name not in (spec.id_col, spec.target, WEIGHT)]
     text = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     numbers = [f.name for f in fields if not isinstance(f.dataType, T.StringType)]
-    stages = [StringIndexer(inputCol=spec.target, outputCol="label", handleInvalid="keep")]
+    stages = [StringIndexer(inputCol=spec.target, outputCol="__label", handleInvalid="keep")]
     if numbers:
         stages.append(Imputer(inputCols=numbers, outputCols=[f"{c}__imputed" for c in numbers], strategy="median"))
     stages += [StringIndexer(inputCol=c, outputCol=f"{c}__indexed", handleInvalid="keep") for c in text]
     if text:
         stages.append(OneHotEncoder(inputCols=[f"{c}__indexed" for c in text], outputCols=[f"{c}__encoded" for c in text]))
-    stages.append(VectorAssembler(inputCols=[f"{c}__imputed" for c in numbers] + [f"{c}__encoded" for c in text], outputCol="features", handleInvalid="keep"))
-    forest = RandomForestClassifier(labelCol="label", seed=spec.seed, featureSubsetStrategy="sqrt")
+    stages.append(VectorAssembler(inputCols=[f"{c}__imputed" for c in numbers] + [f"{c}__encoded" for c in text], outputCol="__features", handleInvalid="keep"))
+    forest = RandomForestClassifier(labelCol="__label", featuresCol="__features", predictionCol="__prediction", probabilityCol="__probability", rawPredictionCol="__raw", seed=spec.seed, featureSubsetStrategy="sqrt")
     if spec.weighted:
         forest = forest.setWeightCol(WEIGHT)
     return Pipeline(stages=[*stages, forest]), forest
@@ -57,7 +57,7 @@ def fit_labels(df: DataFrame, spec: ModelSpec = ModelSpec()) -> Fitted:
         labelled = class_weights(labelled, spec.target).withColumnRenamed("weight", WEIGHT)
     pipeline, forest = label_pipeline(labelled, spec)
     labelled = labelled.persist()
-    accuracy = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    accuracy = MulticlassClassificationEvaluator(labelCol="__label", predictionCol="__prediction", metricName="accuracy")
     if spec.test_share:
         train, test = stratified_train_test_split(labelled, spec.target, spec.test_share, spec.seed, [spec.id_col])
         guessed = pipeline.fit(train).transform(test)
@@ -73,7 +73,7 @@ def predict_labels(df: DataFrame, model: PipelineModel, spec: ModelSpec = ModelS
     rows = as_numbers(df, spec).where(F.col(spec.target).isNull())
     labels = model.stages[0].labels
     scored = model.transform(rows.withColumn(WEIGHT, F.lit(1.0)).withColumn(spec.target, F.lit(labels[0])))
-    chances = F.slice(vector_to_array("probability"), 1, len(labels))
+    chances = F.slice(vector_to_array("__probability"), 1, len(labels))
     best = F.array_max(chances)
     named = F.element_at(F.array(*map(F.lit, labels)), F.array_position(chances, best).cast("int"))
     return scored.select(*(c for c in df.columns if c != spec.target), named.alias("target_max_prob"), best.alias("max_prob"))
