@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, row_key, slices, texts
+from .common import materialise, slices, texts
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -207,7 +207,8 @@ def estimates(vectors: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         near = rows.join(found, "g").withColumn("bin", F.least(F.floor(16 * F.log2(1 + F.greatest(distance(), F.lit(0.0)))), F.lit(BINS - 1)).cast("int"))
         binned = near.groupBy("g", "bin").agg(F.count("*").alias("n"), *(F.sum(f"x{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in PAIRS))
-        found = materialise(binned.groupBy("g").applyInPandas(_concentrate, ESTIMATE), "estimates")
+        # stored first: else one exchange by g would serve both steps, and carry every task's bins of a group to one task
+        found = materialise(materialise(binned, "bins").groupBy("g").applyInPandas(_concentrate, ESTIMATE), "estimates")
     return found
 
 
@@ -229,9 +230,19 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def apply_rules(docs: DataFrame) -> DataFrame:
-    """The rows of docs that the rules keep, with all their columns."""
-    a, b = row_key("text", "lang", "source")
-    stats = materialise(text_statistics(docs.select(a, b, "lang", "source", F.col("text").cast("string").alias("text")), ("key_a", "key_b", "lang", "source")), "statistics")
-    gone = materialise(judge(stats).where(~F.col("kept")).select("key_a", "key_b").distinct(), "rejected")
-    gone = gone.toDF("gone_a", "gone_b")
-    return docs.join(gone, (a == gone.gone_a) & (b == gone.gone_b), "left_anti")
+    """The rows of docs that the rules keep, with all their columns.
+
+    Rows are stored beside their statistics once, so that the verdict needs no
+    shuffle of the texts.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
+    keep = ("row", "lang", "source")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = (pa.RecordBatch.from_arrays([*b.columns, b.column("row").field("text")], names=[*b.schema.names, "text"]) for b in batches)
+        for batch in slices(whole, "text"):
+            found = statistics_of(texts(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array(x) for x in found)], names=[*keep, *STATISTICS])
+
+    stats = rows.mapInArrow(measure, T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in STATISTICS)]))
+    return judge(materialise(stats, "statistics")).where("kept").select("row.*")
