@@ -22,15 +22,15 @@ def _words(bits: np.ndarray, more: int = 1) -> np.ndarray:
 
 def select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The place of the set bit of that rank, from 0."""
-    rank, at = rank.astype(np.int64), np.zeros(len(word), np.int64)
+    word, rank, at = word.copy(), rank.astype(np.uint8), np.zeros(len(word), np.uint8)
     for width in (32, 16, 8, 4, 2, 1):
-        low = word & U64((1 << width) - 1)
-        ones = np.bitwise_count(low).astype(np.int64)
+        ones = np.bitwise_count(word & U64((1 << width) - 1))
         up = rank >= ones
-        rank -= np.where(up, ones, 0)
-        word = np.where(up, word >> U64(width), low)
-        at += np.where(up, width, 0)
-    return at
+        rank -= ones * up
+        step = up * np.uint8(width)
+        word >>= step
+        at += step
+    return at.astype(np.int64)
 
 
 class EliasFano:

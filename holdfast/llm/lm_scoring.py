@@ -32,9 +32,10 @@ without training texts every token is unknown; further columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -208,22 +209,17 @@ class Numbered:
 
     def __init__(self, found: list[bytes], vocabulary: Vocabulary):
         parts = [tokens(x) for x in found]
-        place: dict[bytes, int] = {}
-        for p in parts:
-            place.update(dict.fromkeys(p))
-        place = {w: k for k, w in enumerate(place)}
+        place: dict[bytes, int] = defaultdict(count().__next__)
+        end_place = place[END]
         self.lengths = np.array([len(p) for p in parts], np.int64)
-        index = np.fromiter((place[w] for p in parts for w in p), np.int64, int(self.lengths.sum()))
-        number, count = vocabulary.find(*hashes(list(place)))
-        self.index, self.number, self.count = index, number[index], count[index]
+        index = np.fromiter(map(place.__getitem__, chain.from_iterable(parts)), np.int64, int(self.lengths.sum()))
+        number, counted = vocabulary.find(*hashes(list(place)))
+        self.index, self.number, self.count = index, number[index], counted[index]
         self.words = number  # of each distinct word
         self.starts = np.cumsum(self.lengths) - self.lengths
-        end = number[place[END]] if END in place else -1
-        self.before = np.r_[np.int64(end), self.number[:-1]] if len(self.number) else self.number
-        self.before[self.starts[self.starts < len(self.before)]] = end
-        self.before_index = np.r_[place.get(END, 0), index[:-1]] if len(index) else index
-        self.before_index[self.starts[self.starts < len(index)]] = place.get(END, 0)
-        self.distinct = len(place)
+        self.before_index = np.r_[end_place, index[:-1]][: len(index)]
+        self.before_index[self.starts] = end_place
+        self.before = number[self.before_index]
 
 
 def pair_keys(before: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
