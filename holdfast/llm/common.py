@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -15,33 +11,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a Python worker turns into objects at a time.
-SLICE_BYTES = 8 << 20
-
+from ..session import importable
+from ..sources.scratch import materialise, shared_dir
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did, if they can see that folder."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = [x for x in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+__all__ = ["importable", "materialise", "partitions", "row_key", "scratch", "shared_dir", "slices", "texts"]
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where it is unset, a folder of our own is made for a local session; any
-    other session has to name one, since its executors share no local folder.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    own = tempfile.mkdtemp(prefix="holdfast-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
-    return f"file://{own}"
+#: Bytes of text that a Python worker turns into objects at a time.
+SLICE_BYTES = 8 << 20
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -49,13 +25,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/holdfast/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -85,7 +54,3 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
-
-
-def with_columns(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + list(new.values()), names=[*keep, *new])
