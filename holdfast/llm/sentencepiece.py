@@ -37,13 +37,33 @@ from pyspark.sql import functions as F
 from .common import slices, texts
 
 MARK = "▁"
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 MOST_NEIGHBOURS = 2000
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 
 
+class Memory(dict):
+    """At least the last CACHE_WORDS entries and at most twice as many: when it is full, its entries grow old, and those not asked for again go."""
+
+    def __init__(self):
+        super().__init__()
+        self.before: dict[str, bytes] = {}
+
+    def old(self, key: str) -> bytes | None:
+        found = self.before.get(key)
+        if found is not None:
+            self.add(key, found)
+        return found
+
+    def add(self, key: str, value: bytes) -> None:
+        if len(self) >= CACHE_WORDS:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class PieceModel:
     """Pieces, scores and kind of a model file; encodes and decodes single texts."""
 
@@ -77,9 +97,7 @@ class PieceModel:
         self.pairs: dict[str, dict[str, bool]] = {}
         self.whole = {p for p in self.ids if self.kind != BPE or len(p) == 1 or self.merged(p) == [p]}
         self.splits = not any(re.search(f"[^{MARK}]{MARK}|\n", p) for p in self.ids)
-        self.after_space: dict[str, bytes] = {}
-        self.after_line: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.after_space, self.plain = Memory(), Memory()  # ids of words behind a mark, keyed without it, and of other runs
 
     def merged(self, text: str, bound: int = 0) -> list[str] | None:
         """The pieces of a short text by its merges: highest score first, then leftmost; None once a merge spans the bound."""
@@ -105,47 +123,48 @@ class PieceModel:
 
     def fits(self, a: str, b: str) -> bool:
         """Whether the BPE pieces a and b may stand side by side."""
-        after = self.pairs.get(a)
-        if after is None:
-            after = self.pairs[a] = {}
-        found = after.get(b)
-        if found is None:
+        try:
+            return self.pairs[a][b]
+        except KeyError:
+            after = self.pairs.setdefault(a, {})
             if len(after) > MOST_NEIGHBOURS:
                 after.clear()
             found = after[b] = self.merged(a + b, len(a)) is not None
-        return found
+            return found
 
     def search(self, text: str) -> Iterator[str]:
         """The pieces of the best path, each as soon as it is final."""
-        base, bpe, n = 0, self.kind == BPE, len(text)
-        beginnings, whole, fits = self.beginnings, self.whole, self.fits
-        last: list[str] = [""]  # the piece that ends at boundary base + k
-        cost: list[float] = [0.0]
+        base, bpe, n, longest = 0, self.kind == BPE, len(text), self.longest
+        beginnings, whole, fits, score = self.beginnings, self.whole, self.fits, self.scores.get
+        room = min(n, 8 * longest) + 1
+        last: list[str] = [""] * room  # the piece that ends at boundary base + k; none yet: empty
+        cost: list[float] = [0.0] * (0 if bpe else room)
         for i in range(n):  # every piece that can start at boundary i
             here = i - base
-            before = last[here] if here < len(last) else ""
+            if here + longest >= len(last):
+                last += [""] * (8 * longest)
+                cost += [0.0] * (0 if bpe else 8 * longest)
+            before = last[here]
             if i and not before:
                 raise LookupError(text)
             stop = i + 1
+            piece = text[i:stop]
             while True:
-                piece = text[i:stop]
-                size = stop - i
-                if size == 1 or piece in whole:
-                    while len(last) <= here + size:
-                        last.append("")
-                        cost.append(0.0)
-                    if bpe:
-                        if not before or fits(before, piece):
-                            last[here + size] = piece
-                    else:
-                        total = cost[here] + self.scores.get(piece, self.least)
-                        if not last[here + size] or total > cost[here + size]:
-                            last[here + size], cost[here + size] = piece, total
+                if piece in whole or stop == i + 1:
+                    if not bpe:
+                        total = cost[here] + score(piece, self.least)
+                        if not last[stop - base] or total > cost[stop - base]:
+                            last[stop - base], cost[stop - base] = piece, total
+                    elif not before or fits(before, piece):
+                        last[stop - base] = piece
                 stop += 1
-                if stop > n or text[i:stop] not in beginnings:
+                if stop > n:
+                    break
+                piece = text[i:stop]
+                if piece not in beginnings:
                     break
-            if here >= 4 * self.longest:
-                ends = [base + k for k in range(here + 1, len(last)) if last[k]]
+            if here >= 4 * longest:
+                ends = [base + k for k in range(here + 1, here + longest + 1) if last[k]]
                 while len(ends) > 1:  # walk the furthest path back until all are one
                     back = ends.pop()
                     insort(ends, back - len(last[back - base]))
@@ -153,9 +172,9 @@ class PieceModel:
                 if ends and ends[0] > base:
                     yield from self._path(last, ends[0] - base)
                     last, cost, base = last[ends[0] - base :], cost[ends[0] - base :], ends[0]
-        if text and not last[-1]:
+        if n and not last[n - base]:
             raise LookupError(text)
-        yield from self._path(last, len(last) - 1)
+        yield from self._path(last, n - base)
 
     @staticmethod
     def _path(last: list[str], end: int) -> list[str]:
@@ -184,26 +203,22 @@ class PieceModel:
             packed.byteswap()
         return packed.tobytes()
 
-    def _word(self, memory: dict[str, bytes], start: str, word: str) -> bytes:
+    def _word(self, word: str, marked: bool) -> bytes:
         """The ids of a word, kept in memory; it falls apart where no piece joins two characters."""
-        word_ids, text, at = [], start + word, 0
-        for k in range(1, len(text) + 1):
-            if k == len(text) or text[k - 1 : k + 1] not in self.joined:
-                part = text[at:k]
-                found = self.parts.get(part)
-                if found is None:
-                    found = self.encode_run(part)
-                    if len(part) <= 48:
-                        if len(self.parts) >= CACHE_WORDS:
-                            self.parts.clear()
-                        self.parts[part] = found
-                word_ids.append(found)
+        memory = self.after_space if marked else self.plain
+        if (ids := memory.old(word)) is not None:
+            return ids
+        at, parts = 0, []
+        for k in range(1, len(word)):
+            if word[k - 1 : k + 1] not in self.joined:
+                parts.append(word[at:k])
                 at = k
-        ids = b"".join(word_ids)
+        if at and not (marked and MARK + word[0] not in self.joined):
+            ids = b"".join([(self.after_space if marked else self.plain).get(parts[0]) or self._word(parts[0], marked), *(self.plain.get(x) or self._word(x, False) for x in (*parts[1:], word[at:]))])
+        else:
+            ids = self.encode_run(MARK + word if marked else word)
         if len(word) <= 48:
-            if len(memory) >= CACHE_WORDS:
-                memory.clear()
-            memory[word] = ids
+            memory.add(word, ids)
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -222,12 +237,11 @@ class PieceModel:
                 out.append(self.encode_run(start + line.replace(" ", MARK)))
                 continue
             words = line.split(" ")
-            memory = self.after_space if start == MARK else self.after_line
             if words[0]:
-                out.append(memory.get(words[0]) or self._word(memory, start, words[0]))
-            memory = self.after_space
-            for word in words[1:]:
-                out.append(memory.get(word) or self._word(memory, MARK, word))
+                marked = start == MARK
+                out.append((self.after_space if marked else self.plain).get(words[0]) or self._word(words[0], marked))
+            known = self.after_space.get
+            out += [known(word) or self._word(word, True) for word in words[1:]]
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> bytes:
@@ -268,7 +282,10 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
-                found = [pieces.decode(x or []).decode(errors="replace") for x in batch.column("ids").to_pylist()]
+                column = batch.column("ids")
+                ends = np.cumsum(np.r_[0, column.value_lengths().fill_null(0).to_numpy()]).tolist()
+                flat = column.flatten().to_numpy().tolist()
+                found = [pieces.decode(flat[a:b]).decode(errors="replace") for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(found, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids array<int>, text string")
