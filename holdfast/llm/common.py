@@ -17,7 +17,7 @@ from ..sources.scratch import materialise, shared_dir
 __all__ = ["importable", "materialise", "partitions", "row_key", "scratch", "shared_dir", "slices", "texts"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -58,7 +58,7 @@ SHARD_WORDS = 500_000
 SHARD_TOKENS = 2_000_000
 #: Distinct words, and pairs, that a task counts before it hands counts on.
 HELD_WORDS = 300_000
-HELD_PAIRS = 3_000_000
+HELD_PAIRS = 2_000_000
 
 
 def tokens(text: bytes) -> list[bytes]:

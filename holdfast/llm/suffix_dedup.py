@@ -53,8 +53,8 @@ TYPES = 256
 #: Strings in a run, after each split of hot anchors.
 SPLITS = (32, 4, 1)
 #: Bytes of text that are turned into anchors, or into a suffix array, at once.
-BUFFER = 3 << 20
-POSITION_BITS = 23
+BUFFER = 1 << 20
+POSITION_BITS = 22
 
 _WEIGHT = (np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 _STEP = 0x9E3779B97F4A7C15
