@@ -48,7 +48,8 @@ def ranked_totals(totals: DataFrame, owner: str, metric: str, maxval: float) ->
 
 def big_players(holdings: DataFrame, owner_cols: list[str], metric: str = "rank", maxval: float = 10, owner: str = "Owner_ID", value: str = "Value_Held") -> DataFrame:
     """The owners within the cut, their figures and their owner columns."""
-    found = ranked_totals(owner_totals(holdings, owner, value), owner, metric, maxval)
+    totals = materialise(owner_totals(holdings, owner, value), "totals")  # so that the grand total takes no second pass over the holdings
+    found = ranked_totals(totals, owner, metric, maxval)
     info = one_row_per(holdings.select(*owner_cols), [owner])
     return found.join(info, owner, "left")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import first_contained
 from ..functions.similarity import BATTERY, score_pairs
 from ..functions.text import normalise, top_words
+from ..sources.scratch import materialise
 from ..specs import PASSES, RECOMMEND, HoldingsSpec, LinkPass, RegisterSpec, TextSpec
 from .relational import one_row_per, split_duplicates, split_unique
 
@@ -51,7 +52,7 @@ def link(register: DataFrame, owners: DataFrame, passes: Sequence[LinkPass] = PA
     """(the register's unmatched rows, labels Owner_ID and esa); each pass sees what the ones before have left."""
     labels = None
     for step in passes:
-        found = link_pass(register, owners, step)
+        found = materialise(link_pass(register, owners, step), "matched")  # read three times below
         register = register.join(found.select("idbr_name"), "idbr_name", "left_anti")
         owners = owners.join(found.select("Owner_ID"), "Owner_ID", "left_anti")
         found = found.select("Owner_ID", "esa")

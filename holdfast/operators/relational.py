@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..specs import JoinSpec
 
@@ -121,8 +122,8 @@ def fold_categories(df: DataFrame, columns: Sequence[str], f_min: float, concat:
 def class_weights(df: DataFrame, target: str) -> DataFrame:
     """df with weight = 1 / (count * sum of 1 / count): the classes' weights sum to 1."""
     counts = df.groupBy(target).agg(F.count("*").alias("__n"))
-    total = counts.agg(F.sum(1 / F.col("__n")).alias("__total"))
-    weights = counts.crossJoin(total).select(F.col(target).alias("__class"), (1 / (F.col("__n") * F.col("__total"))).alias("weight"))
+    total = F.sum(1 / F.col("__n")).over(Window.partitionBy())  # over the classes, which are few
+    weights = counts.select(F.col(target).alias("__class"), (1 / (F.col("__n") * total)).alias("weight"))
     return df.join(weights, df[target] == weights["__class"], "left").drop("__class")
 
 

@@ -12,6 +12,7 @@ from ..operators.features import feature_table
 from ..operators.linkage import clean_holdings, clean_register, link, recommend
 from ..operators.model import label_by_model
 from ..operators.relational import split_unique
+from ..sources.scratch import materialise
 from ..specs import PASSES, FeatureSpec, HoldingsSpec, LinkPass, ModelSpec, RegisterSpec
 
 STAGES = ("link", "features", "model", "recommend")
@@ -32,6 +33,7 @@ def label_by_name(register: DataFrame, holdings: DataFrame, spec: PipelineSpec =
     """The register left over, ids of several names, big players, the other holdings, and labels found by name."""
     clean = clean_register(register, spec.register)
     rows, repeated = clean_holdings(holdings, spec.holdings)
+    rows = materialise(rows, "scope")
     rows, players = concentration_cut(rows, list(spec.holdings.owner_cols), spec.metric, spec.maxval)
     owners = split_unique(rows.select("Owner_ID", "Owner_Name").distinct(), "Owner_Name")
     rest, labels = link(clean, owners, spec.passes)

@@ -305,7 +305,7 @@ def link_rest(read):
 def _part_sides(read) -> tuple[DataFrame, DataFrame]:
     parts = read("part")
     owners = parts.select(F.col("p_partkey").alias("Owner_ID"), F.concat(F.lit("The "), F.initcap("p_name")).alias("Owner_Name"))
-    return owners, parts.groupBy(F.col("p_name").alias("idbr_name")).agg(F.min("p_brand").alias("esa"))
+    return owners, parts.select(F.col("p_name").alias("idbr_name"), F.col("p_brand").alias("esa")).distinct()
 
 
 def _top_words_sql(source: str, column: str, n: int) -> str:
@@ -314,7 +314,7 @@ def _top_words_sql(source: str, column: str, n: int) -> str:
 
 @query(f"""
     WITH owners AS (SELECT p_partkey AS Owner_ID, 'The ' || p_name AS Owner_Name FROM part),
-    register AS (SELECT p_name AS idbr_name, min(p_brand) AS esa FROM part GROUP BY 1),
+    register AS (SELECT DISTINCT p_name AS idbr_name, p_brand AS esa FROM part),
     common AS (SELECT list(DISTINCT t) AS words FROM ({_top_words_sql("owners", "Owner_Name", 2)} UNION ALL {_top_words_sql("register", "idbr_name", 2)})),
     l AS (SELECT Owner_ID, list_filter({_normalised_sql("Owner_Name", RECOMMEND)}, lambda t: NOT list_contains(words, t)) AS name_ FROM owners, common),
     r AS (SELECT idbr_name, esa, list_filter({_normalised_sql("idbr_name", RECOMMEND)}, lambda t: NOT list_contains(words, t)) AS name_ FROM register, common)
