@@ -47,6 +47,8 @@ COVERAGE = 0.75
 STEPS = 4
 BINS = 1024
 MIN_ROWS = 50
+#: Groups (some 200 bytes each) whose estimates may be broadcast.
+MOST_BROADCAST = 20_000
 #: Share of normal rows beyond the cut.
 TAIL = 1e-9
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats", "capitals")
@@ -198,14 +200,19 @@ def group_key(level: int) -> Column:
     return F.to_json(F.struct(F.lit(level).alias("level"), F.col("lang"), *([F.col("source")] if level else [])))
 
 
+def _small(found: DataFrame) -> DataFrame:
+    """A stored table of groups, to be broadcast while it is small by count; beyond, joins deal both sides by group and split hot ones."""
+    return F.broadcast(found) if found.count() <= MOST_BROADCAST else found
+
+
 def estimates(vectors: DataFrame) -> DataFrame:
     """vectors (lang, source, x<i>) to the minimum-covariance-determinant estimate of each language, and of each language and source."""
     rows = materialise(vectors.select(F.explode(F.array(group_key(0), group_key(1))).alias("g"), *(f"x{i}" for i in range(P))), "vectors")
     medians = materialise(rows.groupBy("g").agg(F.count("*").alias("rows"), *(F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(P))), "medians")
-    spread = rows.join(medians, "g").groupBy("g").agg(F.first("rows").alias("rows"), *(F.first(f"m{i}").alias(f"m{i}") for i in range(P)), *(F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 1000).alias(f"d{i}") for i in range(P)))
+    spread = rows.join(_small(medians), "g").groupBy("g").agg(F.first("rows").alias("rows"), *(F.first(f"m{i}").alias(f"m{i}") for i in range(P)), *(F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 1000).alias(f"d{i}") for i in range(P)))
     found = materialise(spread.mapInPandas(lambda batches: map(_start, batches), ESTIMATE), "estimates")
     for _ in range(STEPS):
-        near = rows.join(found, "g").withColumn("bin", F.least(F.floor(16 * F.log2(1 + F.greatest(distance(), F.lit(0.0)))), F.lit(BINS - 1)).cast("int"))
+        near = rows.join(_small(found), "g").withColumn("bin", F.least(F.floor(16 * F.log2(1 + F.greatest(distance(), F.lit(0.0)))), F.lit(BINS - 1)).cast("int"))
         binned = near.groupBy("g", "bin").agg(F.count("*").alias("n"), *(F.sum(f"x{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in PAIRS))
         # stored first: else one exchange by g would serve both steps, and carry every task's bins of a group to one task
         found = materialise(materialise(binned, "bins").groupBy("g").applyInPandas(_concentrate, ESTIMATE), "estimates")
@@ -215,7 +222,7 @@ def estimates(vectors: DataFrame) -> DataFrame:
 def judge(stats: DataFrame) -> DataFrame:
     """stats (lang, source, STATISTICS, ...) with base_failed, kept and the distance that decided."""
     rated = stats.select("*", base_failed().alias("base_failed"), *transformed())
-    found = estimates(rated.where(~F.col("base_failed"))).where(F.col("rows") >= MIN_ROWS)
+    found = _small(estimates(rated.where(~F.col("base_failed")))).where(F.col("rows") >= MIN_ROWS)
     columns = [c for c in found.columns if c not in ("g", "rows")]
     own = rated.withColumn("g", group_key(1)).join(found.drop("rows"), "g", "left").withColumn("own", distance()).drop("g", *columns)
     both = own.withColumn("g", group_key(0)).join(found.drop("rows"), "g", "left").withColumn("far", F.coalesce("own", distance())).drop("g", "own", *columns)
