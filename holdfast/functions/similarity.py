@@ -173,7 +173,16 @@ METHODS: dict[str, Callable[[Column, Column], Column]] = {
 BATTERY = tuple(m for m in METHODS if m not in ("jaccard_tokens", "jaccard_ngrams_tokens"))
 
 
-def score_pairs(df: DataFrame, left: str, right: str, methods: tuple[str, ...] = BATTERY, lower: bool = True) -> DataFrame:
-    """df with a column per method; names are compared in lower case."""
+def score_pairs(df: DataFrame, left: str, right: str, methods: tuple[str, ...] = BATTERY, lower: bool = True, distinct: bool = False) -> DataFrame:
+    """df with a column per method; names are compared in lower case.
+
+    With distinct, each pair of names is scored once however many rows hold it.
+    """
     a, b = (F.lower(F.col(c)) if lower else F.col(c) for c in (left, right))
-    return df.select("*", *(METHODS[m](a, b).alias(m) for m in methods))
+    if not distinct:
+        return df.select("*", *(METHODS[m](a, b).alias(m) for m in methods))
+    named = df.withColumns({"__a": a, "__b": b})
+    pairs = named.select(F.col("__a").alias("__x"), F.col("__b").alias("__y")).distinct()
+    scored = pairs.select("*", *(METHODS[m](F.col("__x"), F.col("__y")).alias(m) for m in methods))
+    same = named["__a"].eqNullSafe(scored["__x"]) & named["__b"].eqNullSafe(scored["__y"])
+    return named.join(scored, same).select(*df.columns, *methods)

@@ -84,4 +84,4 @@ def candidate_pairs(owners: DataFrame, register: DataFrame, n_common: int = 10,
 def recommend(unlabelled: DataFrame, holdings: DataFrame, register: DataFrame, owner_cols: Sequence[str], target: str = "esa", methods: tuple[str, ...] = BATTERY, n_common: int = 10) -> tuple[DataFrame, DataFrame]:
     """(owners with candidates and their scores, owners without)."""
     pairs = candidate_pairs(attach_owner(unlabelled, holdings, owner_cols), register, n_common)
-    return score_pairs(pairs.where(F.col(target).isNotNull()), "Owner_Name", "idbr_name", methods), pairs.where(F.col(target).isNull())
+    return score_pairs(pairs.where(F.col(target).isNotNull()), "Owner_Name", "idbr_name", methods, distinct=True), pairs.where(F.col(target).isNull())

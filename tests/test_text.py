@@ -92,3 +92,8 @@ def test_battery_adds_a_column_per_method_and_keeps_nulls(spark):
     same, null = sorted(scored.collect(), key=repr)
     assert same.fuzz_ratio == 100 and same.edit_distance == 0 and same.sequencematcher == 1
     assert null.pyjaro is None and null.fuzz_ratio is None
+
+
+def test_pairs_scored_once_equal_pairs_scored_each(spark):
+    df = spark.createDataFrame([("Ab", "aB", 1), ("ab", "AB", 2), ("x", None, 3), (None, None, 4), ("x", "y", 5)], "a string, b string, k int")
+    assert rows(S.score_pairs(df, "a", "b", distinct=True)) == rows(S.score_pairs(df, "a", "b"))
