@@ -50,8 +50,8 @@ def tokens(c: Column, min_length: int = 1, unicode: bool = False) -> Column:
 
 def remove_stopwords(c: Column, extra: tuple[str, ...] = ()) -> Column:
     """Stop words go, whatever their case; repeated tokens stay."""
-    words = F.array(*(F.lit(w.lower()) for w in dict.fromkeys((*ENGLISH_STOPWORDS, *extra))))
-    return F.filter(c, lambda t: ~F.array_contains(words, F.lower(t)))
+    words = list(dict.fromkeys(w.lower() for w in (*ENGLISH_STOPWORDS, *extra)))
+    return F.filter(c, lambda t: ~F.lower(t).isin(words))  # a list of this length becomes a hash set
 
 
 def sort_tokens(c: Column) -> Column:
