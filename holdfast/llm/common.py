@@ -11,13 +11,22 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import importable
+from .. import session
 from ..sources.scratch import materialise, shared_dir
 
 __all__ = ["importable", "materialise", "partitions", "row_key", "scratch", "shared_dir", "slices", "texts"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
 SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch between Spark and a worker. Spark's own bound is DEFAULT; its buffers double as they grow, so tasks would hold some times that.
+BATCH_BYTES, DEFAULT, SETTING = 16 << 20, 64 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def importable(spark: SparkSession) -> None:
+    """Let workers import this package, and bound Arrow batches unless the session has a bound of its own."""
+    session.importable(spark)
+    if spark.conf.get(SETTING, str(DEFAULT)).rstrip("b") == str(DEFAULT):
+        spark.conf.set(SETTING, str(BATCH_BYTES))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
