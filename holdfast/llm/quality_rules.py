@@ -2,8 +2,11 @@
 
 Every text gives a vector of statistics, each transformed towards a normal
 spread. For each language and source the minimum-covariance-determinant
-estimate is found by concentration steps, and a text is rejected if its squared
-Mahalanobis distance from that estimate exceeds a chi-square quantile.
+estimate is found by concentration steps over h = (n + p + 1) / 2 rows, reweighted
+once over the rows within the INNER quantile, and a text is rejected if its
+squared Mahalanobis distance from that estimate exceeds a chi-square quantile.
+So up to nearly half of a group's rows may be junk; where junk or its copies are
+the majority of a group, no such estimate tells the two apart.
 
 A concentration step needs the covariance of the h nearest rows. Here it is one
 distributed aggregation: each row falls into a bin of its distance, each bin
@@ -27,7 +30,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from itertools import combinations_with_replacement, count
 
 import numpy as np
@@ -43,7 +46,8 @@ WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-COVERAGE = 0.75
+#: Share of normal rows that the reweighted estimate counts.
+INNER = 0.975
 STEPS = 4
 BINS = 1024
 MIN_ROWS = 50
@@ -163,11 +167,21 @@ def chi_square_quantile(share: float, p: int) -> float:
 P = len(FEATURES)
 PAIRS = list(combinations_with_replacement(range(P), 2))
 CUT = chi_square_quantile(1 - TAIL, P)
-#: Covariance of the nearest part of normal rows, scaled to that of all.
-CONSISTENCY = COVERAGE / chi_square_cdf(chi_square_quantile(COVERAGE, P), P + 2)
+INNER_CUT = chi_square_quantile(INNER, P)
 ESTIMATE = T.StructType([T.StructField("g", T.StringType()), T.StructField("rows", T.LongType()), *(T.StructField(f"m{i}", T.DoubleType()) for i in range(P)), *(T.StructField(f"p{i}{j}", T.DoubleType()) for i, j in PAIRS)])
 
 
+def subset(rows: int) -> int:
+    """Rows of the subset of least covariance: the fewest that give the highest breakdown."""
+    return min(rows, (rows + P + 1) // 2)
+
+
+@lru_cache(100_000)
+def consistency(share: float) -> float:
+    """Covariance of all normal rows over that of this share, the nearest."""
+    return share / chi_square_cdf(chi_square_quantile(share, P), P + 2) if share < 1 else 1.0
+
+
 def _estimate(g: str, rows: int, mean: np.ndarray, cov: np.ndarray) -> dict:
     precise = np.linalg.inv(cov + np.diag(VARIANCE_FLOOR))
     return {"g": g, "rows": rows} | {f"m{i}": mean[i] for i in range(P)} | {f"p{i}{j}": precise[i, j] for i, j in PAIRS}
@@ -177,14 +191,31 @@ def _concentrate(bins: pd.DataFrame) -> pd.DataFrame:
     """One group's bins, as (g, bin, n, s<i>, s<i><j>), to its next estimate."""
     bins = bins.sort_values("bin")
     n = bins.n.to_numpy(float)
-    h = max(1.0, COVERAGE * n.sum())
+    h = subset(int(n.sum()))
     share = np.clip((h - (np.cumsum(n) - n)) / n, 0, 1)
     mean = np.array([(share * bins[f"s{i}"]).sum() for i in range(P)]) / h
     cov = np.zeros((P, P))
     for i, j in PAIRS:
         cov[i, j] = cov[j, i] = (share * bins[f"s{i}{j}"]).sum() / h - mean[i] * mean[j]
-    values, axes = np.linalg.eigh(cov * CONSISTENCY)
-    return pd.DataFrame([_estimate(bins.g.iloc[0], int(n.sum()), mean, axes @ np.diag(np.maximum(values, 0)) @ axes.T)])
+    return pd.DataFrame([_estimate(bins.g.iloc[0], int(n.sum()), mean, _definite(cov * consistency(h / int(n.sum()))))])
+
+
+def _definite(cov: np.ndarray) -> np.ndarray:
+    """cov without negative variances, which rounding can leave."""
+    values, axes = np.linalg.eigh(cov)
+    return axes @ np.diag(np.maximum(values, 0)) @ axes.T
+
+
+def _reweighted(sums: pd.DataFrame) -> pd.DataFrame:
+    """Each group's sums over its rows within INNER_CUT, as (g, rows, n, s<i>, s<i><j>), to its estimate."""
+    out = []
+    for r in sums.itertuples():
+        mean = np.array([getattr(r, f"s{i}") for i in range(P)]) / r.n
+        cov = np.zeros((P, P))
+        for i, j in PAIRS:
+            cov[i, j] = cov[j, i] = getattr(r, f"s{i}{j}") / r.n - mean[i] * mean[j]
+        out.append(_estimate(r.g, r.rows, mean, _definite(cov * consistency(INNER))))
+    return pd.DataFrame(out, columns=ESTIMATE.names)
 
 
 def _start(medians: pd.DataFrame) -> pd.DataFrame:
@@ -211,12 +242,14 @@ def estimates(vectors: DataFrame) -> DataFrame:
     medians = materialise(rows.groupBy("g").agg(F.count("*").alias("rows"), *(F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(P))), "medians")
     spread = rows.join(_small(medians), "g").groupBy("g").agg(F.first("rows").alias("rows"), *(F.first(f"m{i}").alias(f"m{i}") for i in range(P)), *(F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 1000).alias(f"d{i}") for i in range(P)))
     found = materialise(spread.mapInPandas(lambda batches: map(_start, batches), ESTIMATE), "estimates")
+    sums = [*(F.sum(f"x{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in PAIRS)]
     for _ in range(STEPS):
         near = rows.join(_small(found), "g").withColumn("bin", F.least(F.floor(16 * F.log2(1 + F.greatest(distance(), F.lit(0.0)))), F.lit(BINS - 1)).cast("int"))
-        binned = near.groupBy("g", "bin").agg(F.count("*").alias("n"), *(F.sum(f"x{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in PAIRS))
+        binned = near.groupBy("g", "bin").agg(F.count("*").alias("n"), *sums)
         # stored first: else one exchange by g would serve both steps, and carry every task's bins of a group to one task
         found = materialise(materialise(binned, "bins").groupBy("g").applyInPandas(_concentrate, ESTIMATE), "estimates")
-    return found
+    inner = rows.join(_small(found), "g").where(distance() <= INNER_CUT).groupBy("g").agg(F.first("rows").alias("rows"), F.count("*").alias("n"), *sums)
+    return materialise(inner.mapInPandas(lambda batches: map(_reweighted, batches), ESTIMATE), "estimates")
 
 
 def judge(stats: DataFrame) -> DataFrame:

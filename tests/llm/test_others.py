@@ -190,6 +190,20 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert {r.doc_id for r in quality_rules.apply_rules(df).collect()} == kept
 
 
+@pytest.mark.parametrize("junk", [0.34, 0.45])
+def test_junk_of_a_third_of_a_group_goes(spark, junk):
+    rng = np.random.default_rng(3)
+    n, bad = 1000, int(1000 * junk)
+    stats = []
+    for k in range(n):
+        words, chars = 200, int(1000 + rng.normal(0, 60))
+        stats.append((k, "en", "s", words, chars, int(words * rng.normal(0.9, 0.01) ** 2) if k < bad else int(rng.integers(0, 5)), 0, 0, 20, int(chars * rng.uniform(0.01, 0.03))))
+    df = spark.createDataFrame(stats, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in quality_rules.STATISTICS))
+    kept = {r.doc_id for r in quality_rules.judge(df).where("kept").collect()}
+    assert not kept & set(range(bad))
+    assert len(kept) >= 0.99 * (n - bad)
+
+
 def test_chi_square():
     assert quality_rules.chi_square_quantile(0.95, 2) == pytest.approx(5.991, abs=1e-3)
     assert quality_rules.chi_square_quantile(0.99, 5) == pytest.approx(15.086, abs=1e-3)
