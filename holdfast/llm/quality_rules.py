@@ -18,7 +18,8 @@ group meets in one task as `BINS` rows at most.
 Groups of fewer than MIN_ROWS rows are judged by their language's estimate, and
 where that is too small too, by the base rules alone. Rows that fail the base
 rules take no part in the estimates. VARIANCE_FLOOR keeps a statistic that is
-constant in a group from turning the slightest deviation into an outlier.
+constant in a group from turning the slightest deviation into an outlier: most
+groups have no repeated line in most of their texts.
 
 Edge cases: a null or wordless text has no words and fails the base rules; null
 languages or sources form groups of their own; equal rows count as often as
@@ -54,9 +55,10 @@ MIN_ROWS = 50
 #: Groups (some 200 bytes each) whose estimates may be broadcast.
 MOST_BROADCAST = 20_000
 #: Share of normal rows beyond the cut.
-TAIL = 1e-9
+TAIL = 1e-3
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats", "capitals")
-VARIANCE_FLOOR = (0.05**2, 0.08**2, 0.15**2, 0.15**2, 0.08**2)
+#: Each below its statistic's largest square over CUT, so that each alone can exceed the cut: x2 < 1, x3 < sqrt(MAX_REPEAT_PERCENT / 100).
+VARIANCE_FLOOR = (0.05**2, 0.05**2, 0.1**2, 0.1**2, 0.05**2)
 #: Lines and words added to a text's own, so that one repeated line of a short text is no outlier.
 MORE_LINES, MORE_WORDS = 8, 100
 MIX = np.uint64(0x9E3779B97F4A7C15)

@@ -204,6 +204,19 @@ def test_junk_of_a_third_of_a_group_goes(spark, junk):
     assert len(kept) >= 0.99 * (n - bad)
 
 
+ORDINARY = {"n_words": 1000, "word_chars": 5000, "n_symbols": 2, "n_dup_lines": 0, "n_repeat_words": 0, "n_lines": 200, "n_capitals": 100}
+
+
+@pytest.mark.parametrize("outlier", [{"word_chars": 14000, "n_capitals": 280}, {"n_symbols": 300}, {"n_dup_lines": 190}, {"n_repeat_words": 290}, {"n_capitals": 2500}])
+def test_each_statistic_alone_can_reject(spark, outlier):
+    rng = np.random.default_rng(4)
+    rows_ = [ORDINARY | {"word_chars": int(5000 + rng.normal(0, 300)), "n_symbols": int(rng.integers(0, 5)), "n_capitals": int(100 + rng.normal(0, 10))} for _ in range(300)]
+    df = spark.createDataFrame([(k, "en", "s", *(r[c] for c in quality_rules.STATISTICS)) for k, r in enumerate([*rows_, ORDINARY | outlier])], "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in quality_rules.STATISTICS))
+    kept = {r.doc_id for r in quality_rules.judge(df).where("kept").collect()}
+    assert 300 not in kept
+    assert len(kept) >= 297
+
+
 def test_chi_square():
     assert quality_rules.chi_square_quantile(0.95, 2) == pytest.approx(5.991, abs=1e-3)
     assert quality_rules.chi_square_quantile(0.99, 5) == pytest.approx(15.086, abs=1e-3)
