@@ -8,10 +8,13 @@ rank among the pieces of its length.
 
 Reduction. For the longest piece left, let a pair partner be the longest piece
 that still fits beside it. The bin of the two dominates every other bin that
-holds the longest piece when no three pieces fit at all, or when the partner is
-at least as long as the best pair of pieces that would fit in its place. Such
-bins are fixed, as many at once as the counts allow; a piece beside which
-nothing fits is fixed alone. Lengths for which the test fails stay in the
+holds the longest piece when it is full, or when no three others fit beside that
+piece and the partner is at least as long as the best pair of pieces that would
+fit in its place. Where no three others fit and a pair of the partner and one
+more fills the bin, the bin of the three dominates if no length lies between the
+two: the longer of any pair is at most the one, the shorter at most the other.
+Removing pieces spoils none of these proofs, so such bins are fixed as many at
+once as the counts allow; a piece beside which nothing fits is fixed alone. Lengths for which the test fails stay in the
 instance, and best-fit decreasing packs that remainder.
 
 Edge cases: a null text is an empty one, which is the end id alone; equal rows
@@ -26,6 +29,7 @@ import sys
 import zlib
 from array import array
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -144,19 +148,26 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[dict[int, i
                 fixed.append(([item], left.pop(item)))
                 lengths.remove(item)
                 break
-            alive = {item: 1}
-            pair = 0
-            for a in reversed(lengths[: bisect_left(lengths, room)]):
-                if 2 * a < pair:
+            found = [item, partner]
+            if partner < room:
+                least = [n for n in lengths[:4] for _ in range(min(left[n] - (n == item), 3))][:3]
+                if len(least) == 3 and sum(least) <= room:
                     break
-                if left[a] - alive.get(a, 0) > 0 and (b := longest(min(a, room - a), alive | {a: alive.get(a, 0) + 1})):
-                    pair = max(pair, a + b)
-            if partner < pair:
-                break
-            times = left[item] // 2 if partner == item else min(left[item], left[partner])
-            fixed.append(([item, partner], times))
-            for n in {item, partner}:
-                left[n] -= times * (2 if partner == item else 1)
+                pair, parts = 0, [0, 0]
+                for a in reversed(lengths[: bisect_left(lengths, room)]):
+                    if 2 * a < pair:
+                        break
+                    if left[a] - (a == item) > 0 and (b := longest(min(a, room - a), Counter([item, a]))) and a + b > pair:
+                        pair, parts = a + b, [a, b]
+                if partner < pair:
+                    if pair < room or parts[0] != partner or longest(partner - 1, {item: 1}) > parts[1]:
+                        break
+                    found = [item, *parts]
+            need = Counter(found)
+            times = min(left[n] // k for n, k in need.items())
+            fixed.append((found, times))
+            for n, k in need.items():
+                left[n] -= times * k
                 if not left[n]:
                     del left[n]
                     lengths.remove(n)

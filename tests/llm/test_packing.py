@@ -68,6 +68,20 @@ def test_fixed_bins_never_cost_a_sequence(items):
     assert sum(t for _, t in fixed) + fewest(sorted(left, reverse=True), 20) == fewest(sorted(items, reverse=True), 20)
 
 
+@pytest.mark.parametrize("items, bins", [([11, 8, 8, 4, 3, 3, 3], []), ([11, 6, 3, 3, 3], []), ([11, 6, 6, 3], [[11, 6, 3]]), ([11, 9, 3, 3, 3], [[11, 9]])])
+def test_only_dominating_bins_are_fixed(items, bins):
+    rest, fixed = P.reduce_dominated(Counter(items), 20)
+    left = [n for n, c in rest.items() for _ in range(c)]
+    assert sum(t for _, t in fixed) + fewest(sorted(left, reverse=True), 20) == fewest(sorted(items, reverse=True), 20)
+    assert all(f in [x for x, _ in fixed] for f in bins)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([2, 3, 4, 5, 6, 7, 8, 9, 11, 12, 13]), min_size=4, max_size=9))
+def test_fixed_bins_of_few_lengths_never_cost_a_sequence(items):
+    test_fixed_bins_never_cost_a_sequence.hypothesis.inner_test(items)
+
+
 def test_best_fit_equals_piece_by_piece():
     rnd = random.Random(5)
     for _ in range(40):
