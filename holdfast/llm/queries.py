@@ -57,7 +57,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .topk import top_k
 
-    return top_k(_read(spark, sf_dir, "embeddings"))
+    return top_k(_read(spark, sf_dir, "embeddings"), equal_rows=True)
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

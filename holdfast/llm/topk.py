@@ -10,23 +10,32 @@ bounds, until the next bound lies below the kth exact score.
 Queries form blocks too, and each meets the vector blocks of one slab in one
 task, which carries the best k on from block to block; the slabs' best are
 merged at the end. Both sides are dealt out by (query block, slab), so no side is
-broadcast and none grows with a single key. Of equal vectors in a block the k + 1
-smallest ids are kept: any other is outranked by k of these, whichever of them is
-the query itself.
+broadcast and none grows with a single key. Of equal vectors in a block the 2 k
+smallest ids are kept, k rows of an id at most: any other is outranked by k of
+these, whichever id is the query's own.
+
+Vectors with a component of 2 ** 24 or more after scaling, or of more than
+MOST_DIMENSIONS, are wide: they form blocks of their own, are bounded by floating
+products relative to a block's largest component, and multiplied as Python's
+integers wherever one side is wide.
 
 Edge cases: vectors that are null, empty, or hold null or non-finite components, and rows
-of null ids, take no part, nor do those with a component of 2 ** 24 or more after
-scaling; rows that repeat an id count as one, the least of their vectors; a query
-meets only vectors of its own length; fewer candidates than k give fewer rows;
-further columns are not read.
+of null ids, take no part; rows that repeat an id with another vector are rows of
+their own, and a query's id never meets itself; rows equal in id and vector count
+once, or with `equal_rows` each (beyond k of them change nothing); the rows of one
+query id are ranked together; a query meets only vectors of its own length; fewer
+candidates than k give fewer rows; further columns are not read. A score among the
+best that no 64-bit integer holds raises an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,26 +50,39 @@ BLOCK = 4096
 QUERY_BLOCK = 1024
 #: Vector blocks that a task reads for one query block, about.
 SLAB = 32
-BLOCKS = "block long, dim int, ids binary, data binary"
+#: Components below WIDE, scaled, and so many of them have inner products within 64 bits.
+WIDE, MOST_DIMENSIONS = 2**24, 2**14
+BLOCKS = "block long, dim int, wide boolean, ids binary, data binary"
 #: Exact vectors read at a time.
 STRIDE = 64
+#: Numbers of narrow and of wide blocks.
+STORED = ("<i4", "<f8")
 
 
-def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, q) of the vectors that take part."""
-    x = F.transform("embedding", lambda v: F.floor(F.lit(float(scale)) * v.cast("double")))
-    fit = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) * scale < 2**24))
-    rows = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & fit)
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<int>").alias("q")).groupBy("vec_id").agg(F.min("q").alias("q"))
+def quantised(vectors: DataFrame, copies: int = 1, scale: int = SCALE) -> DataFrame:
+    """(vec_id, q, r) of the vectors that take part, at most `copies` of equal rows: q holds scaled whole components, or, where it is null, r what the wide ones are before scaling."""
+    real = F.transform("embedding", lambda v: v.cast("double"))
+    rows = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf"))))
+    narrow = (F.size("e") <= MOST_DIMENSIONS) & F.forall("e", lambda v: F.abs(v) * scale < WIDE)
+    # beyond 2 ** 46 a double's multiple by the scale is whole already
+    whole = F.transform("e", lambda v: F.when(F.abs(v) < 2.0**46, F.floor(v * float(scale)).cast("double") / scale).otherwise(v))
+    parts = rows.select(F.col("vec_id").cast("long").alias("vec_id"), real.alias("e")).select("vec_id", F.when(narrow, F.transform("e", lambda v: F.floor(v * float(scale)).cast("int"))).alias("q"), F.when(~narrow, whole).alias("r"))
+    counted = parts.groupBy("vec_id", "q", "r").agg(F.count("*").alias("n"))
+    return counted.select("vec_id", "q", "r", F.explode(F.sequence(F.lit(1).cast("long"), F.least("n", F.lit(copies)))).alias("copy")).drop("copy") if copies > 1 else counted.drop("n")
 
 
-def first_copies(ids: np.ndarray, data: np.ndarray, copies: int) -> np.ndarray:
-    """Indices of the `copies` smallest ids of each distinct row."""
+def first_copies(ids: np.ndarray, data: np.ndarray, k: int) -> np.ndarray:
+    """Indices of the 2 k smallest ids of each distinct row, at most k of an id."""
     _, group = np.unique(np.ascontiguousarray(data).view([("", data.dtype)] * data.shape[1]).ravel(), return_inverse=True)
+    group = group.ravel()
     order = np.lexsort((ids, group))
-    starts = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0])
-    rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
-    return np.sort(order[rank < copies])
+
+    def first(order: np.ndarray, new: np.ndarray, most: int) -> np.ndarray:
+        starts = np.flatnonzero(np.r_[True, new])
+        return order[np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)])) < most]
+
+    order = first(order, (np.diff(group[order]) != 0) | (np.diff(ids[order]) != 0), k)
+    return np.sort(first(order, np.diff(group[order]) != 0, 2 * k))
 
 
 def blocks(vectors: DataFrame, size: int, copies: int | None = None) -> DataFrame:
@@ -69,37 +91,43 @@ def blocks(vectors: DataFrame, size: int, copies: int | None = None) -> DataFram
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[tuple[int, bool], list[tuple[np.ndarray, np.ndarray]]] = {}
         task, made = TaskContext.get().partitionId(), 0
 
-        def emit(dim: int, least: int) -> Iterator[pa.RecordBatch]:
+        def emit(kind: tuple[int, bool], least: int) -> Iterator[pa.RecordBatch]:
             nonlocal made
-            ids, data = (np.concatenate(x) for x in zip(*held[dim]))
+            dim, wide = kind
+            ids, data = (np.concatenate(x) for x in zip(*held[kind]))
             while len(ids) >= max(least, 1):
                 i, d = ids[:size], data[:size]
                 if copies:
                     use = first_copies(i, d, copies)
                     i, d = i[use], d[use]
-                yield pa.RecordBatch.from_pydict({"block": [(task << 32) + made], "dim": [dim], "ids": [i.astype("<i8").tobytes()], "data": [d.astype("<i4").tobytes()]}, schema=pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()), ("data", pa.binary())]))
+                yield pa.RecordBatch.from_pydict({"block": [(task << 32) + made], "dim": [dim], "wide": [wide], "ids": [i.astype("<i8").tobytes()], "data": [d.astype(STORED[wide]).tobytes()]}, schema=pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("wide", pa.bool_()), ("ids", pa.binary()), ("data", pa.binary())]))
                 made += 1
                 ids, data = ids[size:], data[size:]
-            held[dim] = [(ids, data)]
+            held[kind] = [(ids, data)]
 
         for batch in batches:
-            ids, lists = batch.column("vec_id").to_numpy(), batch.column("q")
-            lengths, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
-            starts = np.cumsum(lengths) - lengths
-            for dim in np.unique(lengths):
-                at = np.flatnonzero(lengths == dim)
-                held.setdefault(int(dim), []).append((ids[at], flat[starts[at][:, None] + np.arange(dim)]))
-                if sum(len(x) for x, _ in held[int(dim)]) >= size:
-                    yield from emit(int(dim), size)
-        for dim in held:
-            yield from emit(dim, 1)
+            for column, wide in (("q", False), ("r", True)):
+                part = batch.filter(pc.is_valid(batch.column(column)))
+                ids, lists = part.column("vec_id").to_numpy(), part.column(column)
+                lengths, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+                starts = np.cumsum(lengths) - lengths
+                for dim in np.unique(lengths).tolist():
+                    at = np.flatnonzero(lengths == dim)
+                    held.setdefault((dim, wide), []).append((ids[at], flat[starts[at][:, None] + np.arange(dim)]))
+                    if sum(len(x) for x, _ in held[dim, wide]) >= size:
+                        yield from emit((dim, wide), size)
+        for kind in held:
+            yield from emit(kind, 1)
 
     return vectors.mapInArrow(packed, BLOCKS)
 
 
+FOUND = ["query_id", "vec_id", "score", "beyond"]
+
+
 class Search:
     """The best k of a block of queries over the vector blocks seen so far."""
 
@@ -138,39 +166,98 @@ class Search:
             self.score[row], self.found[row] = best, who
 
     def rows(self) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.repeat(self.ids, [len(x) for x in self.score])), pa.array(np.concatenate([*self.found, np.empty(0, np.int64)])), pa.array(np.concatenate([*self.score, np.empty(0, np.int64)]))], names=["query_id", "vec_id", "score"])
+        score = np.concatenate([*self.score, np.empty(0, np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(self.ids, [len(x) for x in self.score])), pa.array(np.concatenate([*self.found, np.empty(0, np.int64)])), pa.array(score), pa.array(np.zeros(len(score), bool))], names=FOUND)
+
+
+def whole(real: np.ndarray) -> list[int]:
+    """The scaled components as integers of any size."""
+    return [int(x) * SCALE if abs(x) >= 2.0**46 else int(x * SCALE) for x in real.tolist()]
+
+
+class WideSearch:
+    """The best k of a block of queries over blocks, where one side or both are wide; both hold components before scaling."""
+
+    def __init__(self, ids: np.ndarray, real: np.ndarray, k: int):
+        self.ids, self.real, self.k = ids, real, k
+        self.most = np.abs(real).max(axis=1)
+        self.exact = [whole(x) for x in real]
+        self.best: list[list[tuple[int, int]]] = [[] for _ in ids]  # (-score, id), ascending
+
+    def scan(self, ids: np.ndarray, real: np.ndarray) -> None:
+        k, most = self.k, float(np.abs(real).max()) or 1.0
+        near_one = real / most
+        exact: dict[int, list[int]] = {}
+        for row, own in enumerate(self.ids):
+            scale = float(self.most[row]) or 1.0
+            query, unit = self.real[row] / scale, whole(np.array([scale]))[0] * whole(np.array([most]))[0]
+            near = near_one @ query
+            slack = 1e-6 * (np.abs(near_one) @ np.abs(query)) + 1e-290
+            upper, other = near + slack, ids != own
+            at_least = self.relative(row, unit)
+            if other.sum() > k:
+                at_least = max(at_least, np.partition((near - slack)[other], other.sum() - k)[other.sum() - k])
+            left = np.flatnonzero(other & (upper >= at_least))
+            left = left[np.argsort(-upper[left], kind="stable")]
+            for start in range(0, len(left), STRIDE):
+                if upper[left[start]] < self.relative(row, unit):
+                    break
+                part = left[start : start + STRIDE].tolist()
+                for c in part:
+                    if c not in exact:
+                        exact[c] = whole(real[c])
+                scored = [(-sum(map(mul, self.exact[row], exact[c])), int(ids[c])) for c in part]
+                self.best[row] = sorted(self.best[row] + scored)[:k]
+
+    def relative(self, row: int, unit: int) -> float:
+        """A little less than the kth best score, in units of the block."""
+        if len(self.best[row]) < self.k or not unit:
+            return -np.inf
+        score = -self.best[row][-1][0]
+        try:
+            found = score / unit
+        except OverflowError:
+            return np.inf if score > 0 else -np.inf
+        return found - 1e-9 * abs(found) - 1e-290
+
+    def rows(self) -> pa.RecordBatch:
+        """Scores beyond 64 bits are cut to their range, and marked."""
+        flat = [(q, who, -s) for q, best in zip(self.ids.tolist(), self.best) for s, who in best]
+        cut = [max(-(2**63), min(s, 2**63 - 1)) for _, _, s in flat]
+        return pa.RecordBatch.from_arrays([pa.array([q for q, _, _ in flat], pa.int64()), pa.array([w for _, w, _ in flat], pa.int64()), pa.array(cut, pa.int64()), pa.array([c != s for c, (_, _, s) in zip(cut, flat)], pa.bool_())], names=FOUND)
 
 
-def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP, block: int = BLOCK, query_block: int = QUERY_BLOCK, equal_rows: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other rows for each row whose vec_id is divisible by query_step."""
     spark = vectors.sparkSession
-    rows = materialise(quantised(vectors), "quantised")
-    stored = materialise(blocks(rows, block, k + 1), "blocks")
-    asked = materialise(blocks(rows.where(F.col("vec_id") % query_step == 0).repartition(1 + rows.count() // (query_step * query_block), F.xxhash64("vec_id")), query_block), "queries")
+    rows = materialise(quantised(vectors, k if equal_rows else 1), "quantised")
+    stored = materialise(blocks(rows, block, k), "blocks")
+    asked = materialise(blocks(rows.where(F.col("vec_id") % query_step == 0).repartition(1 + rows.count() // (query_step * query_block), F.xxhash64("vec_id", "q", "r")), query_block), "queries")
     n_asked, n_stored = asked.count(), stored.count()
     slabs = max(-(-2 * partitions(spark) // max(n_asked, 1)), -(-n_stored // SLAB), 1)
-    asked = asked.select("dim", F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("data").alias("query_data"))
+    asked = asked.select("dim", F.col("block").alias("query_block"), F.col("wide").alias("query_wide"), F.col("ids").alias("query_ids"), F.col("data").alias("query_data"))
     # the stated queries against all rows, in blocks: every block goes once to each query block of its length
     meets = stored.join(asked.select("dim", "query_block"), "dim").withColumn("slab", F.pmod(F.xxhash64("block"), F.lit(slabs)))
     dealt = meets.join(asked.drop("dim").withColumn("slab", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slabs - 1).cast("long")))), ["query_block", "slab"])
-    dealt = dealt.select("query_block", "slab", "dim", "ids", "data", "query_ids", "query_data").sortWithinPartitions("query_block", "slab")
+    dealt = dealt.select("query_block", "slab", "dim", "wide", "ids", "data", "query_wide", "query_ids", "query_data").sortWithinPartitions("query_block", "slab")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, now = None, None
+        key, now = None, {}
         for batch in batches:
             for i in range(batch.num_rows):
                 r = {c: batch.column(c)[i] for c in batch.schema.names}
-                dim = r["dim"].as_py()
-                ids, data = (np.frombuffer(r[c].as_buffer(), t) for c, t in (("ids", "<i8"), ("data", "<i4")))
+                dim, wide, asks_wide = (r[c].as_py() for c in ("dim", "wide", "query_wide"))
+                ids, data = np.frombuffer(r["ids"].as_buffer(), "<i8"), np.frombuffer(r["data"].as_buffer(), STORED[wide]).reshape(-1, dim)
                 if (r["query_block"].as_py(), r["slab"].as_py()) != key:
-                    if now:
-                        yield now.rows()
-                    key = (r["query_block"].as_py(), r["slab"].as_py())
-                    now = Search(np.frombuffer(r["query_ids"].as_buffer(), "<i8"), np.frombuffer(r["query_data"].as_buffer(), "<i4").reshape(-1, dim), k)
-                now.scan(ids, data.reshape(-1, dim))
-        if now:
-            yield now.rows()
-
-    best = dealt.mapInArrow(search, "query_id long, vec_id long, score long")
+                    yield from (x.rows() for x in now.values())
+                    key, now = (r["query_block"].as_py(), r["slab"].as_py()), {}
+                exceeds = wide or asks_wide
+                if exceeds not in now:
+                    asked_ids, asked_data = np.frombuffer(r["query_ids"].as_buffer(), "<i8"), np.frombuffer(r["query_data"].as_buffer(), STORED[asks_wide]).reshape(-1, dim)
+                    now[exceeds] = WideSearch(asked_ids, asked_data if asks_wide else asked_data / SCALE, k) if exceeds else Search(asked_ids, asked_data, k)
+                now[exceeds].scan(ids, data / SCALE if exceeds and not wide else data)
+        yield from (x.rows() for x in now.values())
+
+    best = dealt.mapInArrow(search, "query_id long, vec_id long, score long, beyond boolean")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.when(F.col("beyond"), F.raise_error(F.lit("op6: a score among the best exceeds 64 bits")).cast("long")).otherwise(F.col("score")).alias("score"))

@@ -341,6 +341,31 @@ def test_top_k_against_brute_force(spark, block, query_block):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block, query_block", [(4096, 1024), (16, 3)])
+def test_top_k_keeps_large_components_and_repeated_ids(spark, block, query_block):
+    rng = np.random.default_rng(block)
+    data = [(k, rng.normal(0, 0.3, 6).tolist()) for k in range(200)]
+    data += [(k, rng.normal(0, 0.3, 6).tolist()) for k in (0, 0, 3, 3, 20, 41)]  # other vectors under the same ids
+    data += [(7, data[7][1])] * 30 + [(40, data[40][1])] * 2 + [(300 + k, data[7][1]) for k in range(50)]
+    data += [(400 + k, (rng.normal(0, 1, 6) * 10.0 ** rng.integers(0, 7, 6)).tolist()) for k in range(60)] + [(500, [262144.0] + [0.0] * 5), (501, [-262144.0, 1.5] + [0.1] * 4)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    whole = [(r.vec_id, [math.floor(64 * x) for x in r.embedding]) for r in df.collect()]
+    want = []
+    for i in {i for i, _ in whole if i % 20 == 0}:
+        score = sorted((-sum(a * b for a, b in zip(q, v)), j) for own, q in whole if own == i for j, v in whole if j != i)
+        want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(score[:20])]
+    assert sorted(tuple(r) for r in topk.top_k(df, 20, 20, block, query_block, equal_rows=True).collect()) == sorted(want)
+
+
+def test_top_k_of_extreme_components(spark):
+    data = [(0, [1.0, 0.0]), (1, [1e15, 3.0]), (2, [-3e38, 0.0]), (3, [2.0, 1e30])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = [tuple(r)[1:] for r in topk.top_k(df, 2).collect()]
+    assert sorted(got) == [(1, 1, 64 * 64 * 10**15), (2, 3, 2 * 64 * 64)]
+    with pytest.raises(Exception, match="exceeds 64 bits"):
+        topk.top_k(df.union(spark.createDataFrame([(4, [3e38, 0.0])], df.schema)), 2).collect()
+
+
 # Classifier
 
 
