@@ -25,16 +25,24 @@ that all strings of such a run have in common takes the anchor's place. The last
 split has one string a run, so its types have one member each, and no task ever
 gets more than TYPES types of one anchor.
 
-Edge cases: a null text is empty; texts shorter than LENGTH lose nothing; equal
-rows are copies of each other; a removal may cut a character in two, which counts
-by bytes and, where text is returned, drops what is left of it; further columns
-are carried by `remove_repeats`, whose own are named `hf_*` while it works.
+Words instead of bytes. `remove_repeated_words` runs the same search over texts in
+which CODE bytes of a hash stand for each word, so that a string of `words` words
+is a string of `words * CODE` bytes whatever its language and white space. What it
+finds is turned back into whole words. WORDS is 51, the shortest passage of over
+50 words, less its first and last word, which may be joined to what surrounds them.
+
+Edge cases: a null text is empty; texts shorter than LENGTH (or WORDS) lose nothing;
+equal rows are copies of each other; a removal may cut a character in two, which
+counts by bytes and, where text is returned, drops what is left of it; removed words
+take the white space after them along; a text without white space is one word, which
+only the search by bytes can cut; further columns are carried by `remove_repeats` and
+`remove_repeated_words`, whose own are named `hf_*` while they work.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +55,10 @@ from .common import materialise, partitions, row_key, slices, texts
 
 LENGTH = 400
 GRAM = 100
+#: Words of a repeated passage and of a gram, and the bytes that stand for a word.
+WORDS = 49
+GRAM_WORDS = 12
+CODE = 6
 Q = 8
 #: Types of one anchor that a task takes.
 TYPES = 256
@@ -56,6 +68,7 @@ SPLITS = (32, 4, 1)
 BUFFER = 1 << 20
 POSITION_BITS = 22
 
+_IN_WORD = ~np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 _WEIGHT = (np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
@@ -113,10 +126,21 @@ def anchor_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     return first, count.astype(np.int64), place - first, h[place].view(np.int64)
 
 
-def cut(batches: Iterator[pa.RecordBatch], column: str, length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def word_codes(text: bytes) -> bytes:
+    """CODE bytes of the hash of each word."""
+    codes = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, text.split())), np.uint8)
+    return codes.reshape(-1, 8)[:, :CODE].tobytes()
+
+
+def word_starts(text: bytes) -> np.ndarray:
+    inside = np.r_[False, _IN_WORD[np.frombuffer(text, np.uint8)]]
+    return np.flatnonzero(inside[1:] & ~inside[:-1])
+
+
+def cut(batches: Iterator[pa.RecordBatch], column: str, length: int, code: Callable[[bytes], bytes] = bytes) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Buffers of text: the batch, its bytes, and the row, place in the text and bounds of each stretch; long texts come in stretches that overlap by length - 1."""
     for batch in slices(batches, column, BUFFER):
-        found = texts(batch.column(column))
+        found = [code(x) for x in texts(batch.column(column))]
         if len(found) == 1 and len(found[0]) > BUFFER:
             data = np.frombuffer(found[0], np.uint8)
             for at in range(0, len(data) - length + 1, BUFFER - length + 1):
@@ -127,11 +151,11 @@ def cut(batches: Iterator[pa.RecordBatch], column: str, length: int) -> Iterator
         yield batch, np.frombuffer(b"".join(found), np.uint8), np.arange(len(found)), np.zeros(len(found), np.int64), np.c_[ends - [len(x) for x in found], ends]
 
 
-def find_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def find_runs(docs: DataFrame, length: int, gram: int, code: Callable[[bytes], bytes]) -> DataFrame:
     """Per run of strings of one anchor: the text's key, the place of its first string, their number, the anchor."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, row, at, bounds in cut(batches, "hf_text", length):
+        for batch, data, row, at, bounds in cut(batches, "hf_text", length, code):
             first, count, place, anchor = anchor_runs(data, bounds[:, 0], bounds[:, 1], length, gram)
             part = np.searchsorted(bounds[:, 0], first, side="right") - 1
             rows = pa.array(row[part])
@@ -148,14 +172,14 @@ def _type(text: bytes) -> tuple[int, int]:
 SEGMENTS = "anchor long, type_a long, type_b long, place long, key_a long, key_b long, first long, segment binary"
 
 
-def fetch_segments(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+def fetch_segments(docs: DataFrame, runs: DataFrame, length: int, code: Callable[[bytes], bytes]) -> DataFrame:
     """For each run: anchor, type, where it stands, and its text (null if the same worker has sent that type just before)."""
     lists = runs.groupBy("key_a", "key_b").agg(F.collect_set(F.struct("first", "count", "place", "anchor")).alias("runs"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "hf_text", BUFFER):
             out, seen = [], set()
-            for a, b, text, found in zip(batch.column("key_a").to_pylist(), batch.column("key_b").to_pylist(), texts(batch.column("hf_text")), batch.column("runs").to_pylist()):
+            for a, b, text, found in zip(batch.column("key_a").to_pylist(), batch.column("key_b").to_pylist(), map(code, texts(batch.column("hf_text"))), batch.column("runs").to_pylist()):
                 for r in found:
                     part = text[r["first"] : r["first"] + r["count"] + length - 1]
                     kind = _type(part)
@@ -280,11 +304,11 @@ def split_types(types: DataFrame, strings: int, length: int) -> DataFrame:
     return types.select("type_a", "type_b", "weight", "segment", "place").mapInArrow(split, SPLIT)
 
 
-def repeated_ranges(docs: DataFrame, length: int, gram: int, most_types: int, splits: tuple[int, ...]) -> DataFrame:
-    """docs (key_a, key_b, hf_text) to the byte ranges to remove: key_a, key_b, start, stop; ranges may touch or overlap."""
-    runs = materialise(find_runs(docs, length, gram), "runs")
+def repeated_ranges(docs: DataFrame, length: int, gram: int, most_types: int, splits: tuple[int, ...], code: Callable[[bytes], bytes]) -> DataFrame:
+    """docs (key_a, key_b, hf_text) to the ranges to remove of the coded text: key_a, key_b, start, stop; ranges may touch or overlap."""
+    runs = materialise(find_runs(docs, length, gram, code), "runs")
     twice = materialise(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
-    segments = materialise(fetch_segments(docs, runs.join(twice, "anchor"), length), "segments")
+    segments = materialise(fetch_segments(docs, runs.join(twice, "anchor"), length, code), "segments")
     types = segments.groupBy("anchor", "type_a", "type_b").agg(F.count("*").alias("weight"), F.max("place").alias("place"), F.max("segment").alias("segment"))
     levels: list[tuple[DataFrame, DataFrame | None]] = []  # marks of a level, and its types' places in those above
     places = None
@@ -311,10 +335,10 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("*", *(c.alias(f"hf_{k}") for k, c in zip(("key_a", "key_b"), row_key("doc_id", "text"))))
 
 
-def _spans(docs: DataFrame, length: int, gram: int, most_types: int, splits: tuple[int, ...]) -> DataFrame:
+def _spans(docs: DataFrame, length: int, gram: int, most_types: int, splits: tuple[int, ...], code: Callable[[bytes], bytes] = bytes) -> DataFrame:
     """docs with hf_spans, the ranges to remove (null: none)."""
     keys = docs.select(F.col("hf_key_a").alias("key_a"), F.col("hf_key_b").alias("key_b"), F.col("text").cast("string").alias("hf_text"))
-    ranges = repeated_ranges(keys, length, gram, most_types, splits)
+    ranges = repeated_ranges(keys, length, gram, most_types, splits, code)
     lists = ranges.groupBy(F.col("key_a").alias("hf_key_a"), F.col("key_b").alias("hf_key_b")).agg(F.collect_set(F.struct("start", "stop")).alias("hf_spans"))
     return docs.join(materialise(lists, "spans"), ["hf_key_a", "hf_key_b"], "left")
 
@@ -350,14 +374,32 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most
     return spans.select("doc_id", "text", "hf_spans").mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_types: int = TYPES, splits: tuple[int, ...] = SPLITS) -> DataFrame:
-    """The rows of docs, their repeated strings taken out of the text."""
+def word_spans(text: bytes, spans: list[dict] | None) -> list[tuple[int, int]]:
+    """The bytes of the words whose codes the ranges cover, up to the next word."""
+    starts = np.r_[word_starts(text), len(text)]
+    return [(int(starts[-(-a // CODE)]), int(starts[b // CODE])) for a, b in merged_spans(spans)]
+
+
+def _cut_out(docs: DataFrame, spans: DataFrame, ranges: Callable[[bytes, list[dict]], list[tuple[int, int]]]) -> DataFrame:
+    """The rows of docs, with the ranges of hf_spans taken out of the text."""
     schema = docs.schema
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            column, found = batch.column("text"), batch.column("hf_spans").to_pylist()
-            kept = [t if s is None else kept_bytes(t.encode(), merged_spans(s)).decode(errors="ignore") for t, s in zip(column.to_pylist(), found)]
+            kept = []
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("hf_spans").to_pylist()):
+                data = None if found is None else text.encode()
+                kept.append(text if data is None else kept_bytes(data, ranges(data, found)).decode(errors="ignore"))
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if c == "text" else batch.column(c) for c in schema.names], names=schema.names)
 
-    return _spans(keyed(docs), length, gram, most_types, splits).select(*schema.names, "hf_spans").mapInArrow(remove, T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+    return spans.select(*schema.names, "hf_spans").mapInArrow(remove, T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_types: int = TYPES, splits: tuple[int, ...] = SPLITS) -> DataFrame:
+    """The rows of docs, their repeated strings of `length` bytes taken out of the text."""
+    return _cut_out(docs, _spans(keyed(docs), length, gram, most_types, splits), lambda _, found: merged_spans(found))
+
+
+def remove_repeated_words(docs: DataFrame, words: int = WORDS, gram: int = GRAM_WORDS, most_types: int = TYPES, splits: tuple[int, ...] = SPLITS) -> DataFrame:
+    """The rows of docs, their repeated runs of `words` words taken out of the text."""
+    return _cut_out(docs, _spans(keyed(docs), words * CODE, gram * CODE, most_types, splits, word_codes), word_spans)

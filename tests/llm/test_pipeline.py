@@ -40,3 +40,26 @@ def test_rules_judge_rows_by_text_language_and_source(odd):
 
     judged = quality_rules(odd).where("kept").count()
     assert apply_rules(odd).count() == judged
+
+
+def test_no_repeated_passage_of_over_50_words_stays(spark):
+    """Over a whole table: what suffix_array_dedup takes out, and that it leaves texts without such passages alone."""
+    from collections import Counter
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["text"])
+    stage = dict(corpus_pipeline.STAGES)["suffix_array_dedup"]
+    out = stage(spark, docs, "/root/testdata/sf0.01")
+    assert out.columns == docs.columns
+    before, after = ({r.doc_id: r.text for r in df.collect()} for df in (docs, out))
+
+    def windows(texts, n):
+        split = [t.split() for t in texts]
+        return Counter(tuple(w[k : k + n]) for w in split for k in range(len(w) - n + 1))
+
+    assert before.keys() == after.keys()
+    assert max(windows(after.values(), 51).values()) == 1
+    short = windows(before.values(), 49)
+    for k, t in before.items():
+        words = t.split()
+        if all(short[tuple(words[i : i + 49])] == 1 for i in range(len(words) - 48)):
+            assert after[k] == t

@@ -87,3 +87,73 @@ def test_texts_lose_their_repeats_and_keep_their_columns(odd):
     cut = S.remove_repeats(odd, 40, 12)
     assert cut.columns == odd.columns and cut.count() == odd.count()
     assert {r.text for r in cut.where("doc_id in (3, 4)").collect()} == {""}
+
+
+def cut_words(texts, words):
+    """The words that are left of each text, by brute force."""
+    split = [(t or "").encode().split() for t in texts]
+    counts = Counter(tuple(w[k : k + words]) for w in split for k in range(len(w) - words + 1))
+    out = []
+    for w in split:
+        gone = [False] * len(w)
+        for k in range(len(w) - words + 1):
+            if counts[tuple(w[k : k + words])] > 1:
+                gone[k : k + words] = [True] * words
+        out.append([x for x, g in zip(w, gone) if not g])
+    return out
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_repeated_words_against_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 6))) for _ in range(40)]
+    base = [rnd.choice(words) for _ in range(40)]
+    docs = []
+    for k in range(60):
+        text = [rnd.choice(words) for _ in range(rnd.randint(0, 40))]
+        if k % 2:
+            at, n = rnd.randint(0, 20), rnd.randint(5, 20)
+            text += base[at : at + n] + [rnd.choice(words) for _ in range(9)]
+        docs.append((k if k % 13 else None, rnd.choice([" ", "\n", " \t"]).join(text) if k % 17 else None, k))
+    docs.append((70, "no no " * 60, 1))
+    df = spark.createDataFrame(docs + docs[:4], "doc_id long, text string, hf int")
+    out = S.remove_repeated_words(df, 8, 3, 3, (32, 4, 1))
+    assert out.columns == df.columns
+    want = cut_words([r.text for r in df.collect()], 8)
+    got_ = {}
+    for r in out.collect():
+        got_.setdefault((r.doc_id, r.hf), []).append((r.text or "").encode().split())
+    for r, w in zip(df.collect(), want):
+        assert w in got_[r.doc_id, r.hf]
+
+
+def test_passages_of_over_50_words_go_whatever_their_length_in_bytes(spark):
+    rnd = random.Random(8)
+    lengths = [51, 53, 60, 75]
+
+    def prose(n):
+        return [rnd.choice("abcdefg") * rnd.randint(1, 3) + str(rnd.randint(0, 10**6)) for _ in range(n)]
+
+    passages = [[w[:4] for w in prose(n)] for n in lengths]
+    assert all(len(" ".join(p)) < 400 for p in passages)
+    docs = [(10 * i + j, " ".join([*prose(30), *p, *prose(20)])) for i, p in enumerate(passages) for j in range(3)]
+    clean = [(900 + k, " ".join(prose(90))) for k in range(10)]
+    short = [(950 + k, " ".join([*prose(30), *passages[3][:40], *prose(30)])) for k in range(2)]
+    df = spark.createDataFrame(docs + clean + short, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in S.remove_repeated_words(df).collect()}
+    before = dict(docs + clean + short)
+    assert all(left[k] == before[k] for k, _ in clean + short)
+    assert all(len(left[k].split()) == 50 for k, _ in docs)
+    assert all(len(left[k].encode()) < len(t.encode()) for k, t in docs)
+
+
+def test_words_of_long_texts_and_of_odd_rows(spark, odd, empty, monkeypatch):
+    monkeypatch.setattr(S, "BUFFER", 2000)
+    rnd = random.Random(5)
+    text = [str(rnd.randint(0, 10**5)) for _ in range(1500)]
+    df = spark.createDataFrame([(1, " ".join(text + text[100:300])), (2, " ".join(["q", *text[700:760], "r"]))], "doc_id long, text string").coalesce(1)
+    assert [r.text.split() for r in sorted(S.remove_repeated_words(df).collect())] == [[w.decode() for w in x] for x in cut_words([r.text for r in df.collect()], 49)]
+    cut = S.remove_repeated_words(odd, 6, 2)
+    assert cut.columns == odd.columns and cut.count() == odd.count()
+    assert {r.text for r in cut.where("doc_id in (3, 4)").collect()} == {""}
+    assert S.remove_repeated_words(empty).count() == 0
