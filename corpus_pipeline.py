@@ -16,7 +16,7 @@ from holdfast.llm.common import importable, materialise
 from holdfast.llm.packing import pack_documents
 from holdfast.llm.quality_rules import apply_rules
 from holdfast.llm.simhash import keep_first_of_groups
-from holdfast.llm.suffix_dedup import remove_repeats
+from holdfast.llm.suffix_dedup import remove_repeated_words
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -41,9 +41,12 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occur twice or more are cut out of the texts; n_chars follows."""
+    """Passages of over 50 words that occur twice or more are cut out of the texts; n_chars follows.
+
+    The query op10's 400 bytes would leave most of them: 51 words of these texts take 260 bytes and more.
+    """
     importable(spark)
-    cut = remove_repeats(docs)
+    cut = remove_repeated_words(docs)
     return cut.withColumn("n_chars", F.length("text").cast(cut.schema["n_chars"].dataType)) if "n_chars" in cut.columns else cut
 
 
