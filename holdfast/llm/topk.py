@@ -1,23 +1,24 @@
 """Exact top-k inner products by vector-approximation files.
 
-Vectors are cut into blocks. A block keeps its vectors' exact integer components
-and, of each, a cell: every dimension's range in the block is divided into
-2 ** CELL_BITS equal steps. A cell's middle and half width bound the inner
-product with a query from both sides. For each query the kth largest lower bound
-rules out most of a block; the rest are read exactly in the order of their upper
-bounds, until the next bound lies below the kth exact score.
-
-Queries form blocks too, and each meets the vector blocks of one slab in one
-task, which carries the best k on from block to block; the slabs' best are
-merged at the end. Both sides are dealt out by (query block, slab), so no side is
-broadcast and none grows with a single key. Of equal vectors in a block the 2 k
-smallest ids are kept, k rows of an id at most: any other is outranked by k of
-these, whichever id is the query's own.
+Vectors are cut into blocks, each a file of the shared folder. Its first part is
+the approximation: every dimension's range in the block is divided into
+2 ** CELL_BITS equal steps, and a vector has one byte a dimension, its cell. Its
+second part holds the exact integer components, one vector after the other. A
+cell's middle and half width bound the inner product with a query from both sides.
+
+A task searches for one block of queries in one slab of files. It first scans the
+approximations alone and keeps the vectors whose upper bound reaches the query's kth
+largest lower bound. Of these it then reads the exact vectors, one by one out of the
+files, in the order of their upper bounds, until the next bound lies below the kth
+exact score. The slabs' best are merged at the end. Only the numbers of files are
+shuffled; no side is broadcast, and none grows with a single key. Of equal vectors
+in a block the 2 k smallest ids are kept, k rows of an id at most: any other is
+outranked by k of these, whichever id is the query's own.
 
 Vectors with a component of 2 ** 24 or more after scaling, or of more than
-MOST_DIMENSIONS, are wide: they form blocks of their own, are bounded by floating
-products relative to a block's largest component, and multiplied as Python's
-integers wherever one side is wide.
+MOST_DIMENSIONS, are wide: they form files of their own, which hold the components
+before scaling; their bounds are relative to a file's largest component, and where
+one side is wide exact products are Python's integers.
 
 Edge cases: vectors that are null, empty, or hold null or non-finite components, and rows
 of null ids, take no part; rows that repeat an id with another vector are rows of
@@ -36,26 +37,29 @@ from operator import mul
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialise, partitions
+from .common import materialise, partitions, scratch
 
 K = 20
 SCALE = 64
 QUERY_STEP = 20
-CELL_BITS = 5
+CELL_BITS = 8
 BLOCK = 4096
 QUERY_BLOCK = 1024
-#: Vector blocks that a task reads for one query block, about.
+#: Files that a task scans for one query block, about.
 SLAB = 32
 #: Components below WIDE, scaled, and so many of them have inner products within 64 bits.
 WIDE, MOST_DIMENSIONS = 2**24, 2**14
-BLOCKS = "block long, dim int, wide boolean, ids binary, data binary"
-#: Exact vectors read at a time.
+BLOCKS = "block long, attempt long, dim int, wide boolean, n int"
+#: Exact vectors read at a time, and candidates held before their exact vectors are read.
 STRIDE = 64
-#: Numbers of narrow and of wide blocks.
+HELD = 1 << 20
+#: Numbers of narrow and of wide files.
 STORED = ("<i4", "<f8")
 
 
@@ -85,14 +89,65 @@ def first_copies(ids: np.ndarray, data: np.ndarray, k: int) -> np.ndarray:
     return np.sort(first(order, np.diff(group[order]) != 0, 2 * k))
 
 
-def blocks(vectors: DataFrame, size: int, copies: int | None = None) -> DataFrame:
-    """Vectors of equal length packed together, `size` to a row."""
+class VectorFile:
+    """One block: ids and cells, read at once by `scan`, and exact vectors, read one by one by `rows`."""
+
+    def __init__(self, folder: str, block: int, attempt: int, dim: int, wide: bool, n: int):
+        self.fs, top = pa.fs.FileSystem.from_uri(folder)
+        self.path = f"{top}/{block}-{attempt}.vectors"
+        self.dim, self.wide, self.n, self.kind = dim, wide, n, np.dtype(STORED[wide])
+        self.cells_end = 8 * (n + 2 * dim + 1) + n * dim
+        self.file = None
+
+    def write(self, ids: np.ndarray, data: np.ndarray) -> None:
+        real = data.astype(np.float64)
+        most = (np.abs(real).max() or 1.0) if self.wide else 1.0
+        real /= most
+        low, high = real.min(axis=0), real.max(axis=0)
+        # a narrow cell holds `step` whole numbers
+        step = (high - low) / (1 << CELL_BITS) if self.wide else np.ceil((high - low + 1) / (1 << CELL_BITS))
+        cells = np.minimum((real - low) // np.where(step > 0, step, 1), (1 << CELL_BITS) - 1).astype(np.uint8)
+        with self.fs.open_output_stream(self.path, compression=None) as out:
+            for x in (ids.astype("<i8"), low, step, np.array([most]), cells, data.astype(self.kind)):
+                out.write(np.ascontiguousarray(x).tobytes())
+
+    def _read(self, size: int, at: int) -> pa.Buffer:
+        if self.file is None:
+            self.file = self.fs.open_input_file(self.path)
+        self.file.seek(at)
+        return self.file.read_buffer(size)
+
+    def scan(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """ids; the middles of the cells and half their width, per dimension, in units of the last value."""
+        data, n, dim = self._read(self.cells_end, 0), self.n, self.dim
+        ids = np.frombuffer(data, "<i8", n)
+        low, step, most = (np.frombuffer(data, "<f8", size, 8 * at) for size, at in ((dim, n), (dim, n + dim), (1, n + 2 * dim)))
+        cells = np.frombuffer(data, np.uint8, n * dim, 8 * (n + 2 * dim + 1)).reshape(n, dim)
+        half = step / 2 if self.wide else (step - 1) / 2
+        return ids, low + half + cells * step, half, float(most[0])
+
+    def rows(self, at: np.ndarray) -> np.ndarray:
+        size = self.dim * self.kind.itemsize
+        return np.stack([np.frombuffer(self._read(size, self.cells_end + i * size), self.kind) for i in at.tolist()])
+
+    def all_rows(self) -> tuple[np.ndarray, np.ndarray]:
+        data = self._read(self.n * self.dim * self.kind.itemsize, self.cells_end)
+        return np.frombuffer(self._read(8 * self.n, 0), "<i8"), np.frombuffer(data, self.kind).reshape(self.n, self.dim)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+            self.file = None
+
+
+def blocks(vectors: DataFrame, size: int, folder: str, copies: int | None = None) -> DataFrame:
+    """Vectors of equal length written to files of `size` vectors, a row of BLOCKS each."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
+        fs, path = pa.fs.FileSystem.from_uri(folder)
+        fs.create_dir(path, recursive=True)
         held: dict[tuple[int, bool], list[tuple[np.ndarray, np.ndarray]]] = {}
-        task, made = TaskContext.get().partitionId(), 0
+        task, attempt, made = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0
 
         def emit(kind: tuple[int, bool], least: int) -> Iterator[pa.RecordBatch]:
             nonlocal made
@@ -103,7 +158,9 @@ def blocks(vectors: DataFrame, size: int, copies: int | None = None) -> DataFram
                 if copies:
                     use = first_copies(i, d, copies)
                     i, d = i[use], d[use]
-                yield pa.RecordBatch.from_pydict({"block": [(task << 32) + made], "dim": [dim], "wide": [wide], "ids": [i.astype("<i8").tobytes()], "data": [d.astype(STORED[wide]).tobytes()]}, schema=pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("wide", pa.bool_()), ("ids", pa.binary()), ("data", pa.binary())]))
+                row = ((task << 32) + made, attempt, dim, wide, len(i))
+                VectorFile(folder, *row).write(i, d)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32()))], names=["block", "attempt", "dim", "wide", "n"])
                 made += 1
                 ids, data = ids[size:], data[size:]
             held[kind] = [(ids, data)]
@@ -129,43 +186,66 @@ FOUND = ["query_id", "vec_id", "score", "beyond"]
 
 
 class Search:
-    """The best k of a block of queries over the vector blocks seen so far."""
+    """The best k of a block of queries over the narrow files scanned so far."""
 
     def __init__(self, ids: np.ndarray, data: np.ndarray, k: int):
         self.ids, self.data, self.k = ids, data.astype(np.int64), k
         self.real = data.astype(np.float64)
+        self.lower = np.full((len(ids), k), -np.inf)  # each query's k largest lower bounds
+        self.at_least = np.full(len(ids), -np.inf)
+        self.files: list[VectorFile] = []
+        self.held: list[tuple[np.ndarray, ...]] = []  # query, upper bound, file, row, id of candidates
         self.score = [np.empty(0, np.int64) for _ in ids]
         self.found = [np.empty(0, np.int64) for _ in ids]
 
-    def scan(self, ids: np.ndarray, data: np.ndarray) -> None:
-        low, high = data.min(axis=0).astype(np.float64), data.max(axis=0).astype(np.float64)
-        width = np.maximum(np.ceil((high - low + 1) / (1 << CELL_BITS)), 1)
-        cells = ((data - low) // width).astype(np.uint8)
-        half = (width - 1) / 2  # a cell holds `width` whole numbers
-        middle = low + cells * width + half
+    def scan(self, file: VectorFile) -> None:
+        ids, middle, half, _ = file.scan()
         near = self.real @ middle.T
-        slack = np.abs(self.real) @ half + 1e-6 * (1 + np.abs(self.real) @ np.maximum(np.abs(low), np.abs(high)))
-        own = self.ids[:, None] == ids[None, :]
-        near[own] = -np.inf
-        k, exact = self.k, data.astype(np.int64)
-        for row in range(len(self.ids)):
-            at_least = self.score[row][-1] if len(self.score[row]) == k else -np.inf
-            if len(ids) > k:
-                at_least = max(at_least, np.partition(near[row], len(ids) - k)[len(ids) - k] - slack[row])
-            upper = near[row] + slack[row]
-            left = np.flatnonzero((upper >= at_least) & np.isfinite(upper))
-            left = left[np.argsort(-upper[left], kind="stable")]
-            best, who = self.score[row], self.found[row]
-            for start in range(0, len(left), STRIDE):
-                if len(best) == k and upper[left[start]] < best[-1]:
-                    break
-                part = left[start : start + STRIDE]
-                best, who = np.r_[best, exact[part] @ self.data[row]], np.r_[who, ids[part]]
-                order = np.lexsort((who, -best))[:k]
-                best, who = best[order], who[order]
-            self.score[row], self.found[row] = best, who
+        most = np.abs(middle).max(axis=0) + half
+        slack = np.abs(self.real) @ half + 1e-6 * (1 + np.abs(self.real) @ most)
+        near[self.ids[:, None] == ids[None, :]] = -np.inf
+        best = near if len(ids) <= self.k else np.partition(near, len(ids) - self.k, axis=1)[:, len(ids) - self.k :]
+        both = np.concatenate([self.lower, best - slack[:, None]], axis=1)
+        self.lower = np.partition(both, both.shape[1] - self.k, axis=1)[:, both.shape[1] - self.k :]
+        self.at_least = np.maximum(self.at_least, self.lower.min(axis=1))
+        query, row = np.nonzero(np.isfinite(near) & (near >= (self.at_least - slack)[:, None]))
+        self.held.append((query, near[query, row] + slack[query], np.full(len(row), len(self.files)), row, ids[row]))
+        self.files.append(file)
+        if sum(len(x[0]) for x in self.held) >= HELD:
+            self.settle()
+
+    def settle(self) -> None:
+        """Read the candidates' exact vectors in the order of their upper bounds, until each query's kth score is certain."""
+        if self.held:
+            query, upper, file, row, ids = (np.concatenate(x) for x in zip(*self.held))
+            left = np.flatnonzero(upper >= self.at_least[query])
+            left = left[np.lexsort((-upper[left], query[left]))]
+            for part in np.split(left, np.flatnonzero(np.diff(query[left])) + 1):
+                if len(part):
+                    self._settle(int(query[part[0]]), upper[part], file[part], row[part], ids[part])
+        for f in self.files:
+            f.close()
+        self.files, self.held = [], []
+
+    def _settle(self, query: int, upper: np.ndarray, file: np.ndarray, row: np.ndarray, ids: np.ndarray) -> None:
+        best, who = self.score[query], self.found[query]
+        for start in range(0, len(upper), STRIDE):
+            if len(best) == self.k and upper[start] < best[-1]:
+                break
+            part = slice(start, start + STRIDE)
+            exact = np.empty(len(row[part]), np.int64)
+            for f in np.unique(file[part]).tolist():
+                at = np.flatnonzero(file[part] == f)
+                exact[at] = self.files[f].rows(row[part][at]).astype(np.int64) @ self.data[query]
+            best, who = np.r_[best, exact], np.r_[who, ids[part]]
+            order = np.lexsort((who, -best))[: self.k]
+            best, who = best[order], who[order]
+        self.score[query], self.found[query] = best, who
+        if len(best) == self.k:
+            self.at_least[query] = max(self.at_least[query], best[-1])
 
     def rows(self) -> pa.RecordBatch:
+        self.settle()
         score = np.concatenate([*self.score, np.empty(0, np.int64)])
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(self.ids, [len(x) for x in self.score])), pa.array(np.concatenate([*self.found, np.empty(0, np.int64)])), pa.array(score), pa.array(np.zeros(len(score), bool))], names=FOUND)
 
@@ -176,7 +256,7 @@ def whole(real: np.ndarray) -> list[int]:
 
 
 class WideSearch:
-    """The best k of a block of queries over blocks, where one side or both are wide; both hold components before scaling."""
+    """The best k of a block of queries, held before scaling, over files where one side or both are wide."""
 
     def __init__(self, ids: np.ndarray, real: np.ndarray, k: int):
         self.ids, self.real, self.k = ids, real, k
@@ -184,15 +264,17 @@ class WideSearch:
         self.exact = [whole(x) for x in real]
         self.best: list[list[tuple[int, int]]] = [[] for _ in ids]  # (-score, id), ascending
 
-    def scan(self, ids: np.ndarray, real: np.ndarray) -> None:
-        k, most = self.k, float(np.abs(real).max()) or 1.0
-        near_one = real / most
+    def scan(self, file: VectorFile) -> None:
+        ids, middle, half, most = file.scan()
+        if not file.wide:  # scaled whole numbers, made relative as well
+            most = float(np.ceil(np.abs(middle).max() + half.max())) or 1.0
+            middle, half, most = middle / most, half / most, most / SCALE
+        k, size = self.k, np.abs(middle).max(axis=0) + half
         exact: dict[int, list[int]] = {}
         for row, own in enumerate(self.ids):
             scale = float(self.most[row]) or 1.0
             query, unit = self.real[row] / scale, whole(np.array([scale]))[0] * whole(np.array([most]))[0]
-            near = near_one @ query
-            slack = 1e-6 * (np.abs(near_one) @ np.abs(query)) + 1e-290
+            near, slack = middle @ query, float(np.abs(query) @ half + 1e-6 * (np.abs(query) @ size) + 1e-290)
             upper, other = near + slack, ids != own
             at_least = self.relative(row, unit)
             if other.sum() > k:
@@ -202,12 +284,14 @@ class WideSearch:
             for start in range(0, len(left), STRIDE):
                 if upper[left[start]] < self.relative(row, unit):
                     break
-                part = left[start : start + STRIDE].tolist()
-                for c in part:
-                    if c not in exact:
-                        exact[c] = whole(real[c])
-                scored = [(-sum(map(mul, self.exact[row], exact[c])), int(ids[c])) for c in part]
+                part = left[start : start + STRIDE]
+                new = np.array([c for c in part.tolist() if c not in exact], np.int64)
+                if len(new):
+                    real = file.rows(new)
+                    exact.update(zip(new.tolist(), map(whole, real if file.wide else real / SCALE)))
+                scored = [(-sum(map(mul, self.exact[row], exact[c])), int(ids[c])) for c in part.tolist()]
                 self.best[row] = sorted(self.best[row] + scored)[:k]
+        file.close()
 
     def relative(self, row: int, unit: int) -> float:
         """A little less than the kth best score, in units of the block."""
@@ -230,33 +314,32 @@ class WideSearch:
 def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP, block: int = BLOCK, query_block: int = QUERY_BLOCK, equal_rows: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other rows for each row whose vec_id is divisible by query_step."""
     spark = vectors.sparkSession
+    folder = scratch(spark, "vectors")
     rows = materialise(quantised(vectors, k if equal_rows else 1), "quantised")
-    stored = materialise(blocks(rows, block, k), "blocks")
-    asked = materialise(blocks(rows.where(F.col("vec_id") % query_step == 0).repartition(1 + rows.count() // (query_step * query_block), F.xxhash64("vec_id", "q", "r")), query_block), "queries")
+    stored = materialise(blocks(rows, block, folder, k), "blocks")
+    asked = materialise(blocks(rows.where(F.col("vec_id") % query_step == 0).repartition(1 + rows.count() // (query_step * query_block), F.xxhash64("vec_id", "q", "r")), query_block, f"{folder}/asked"), "queries")
     n_asked, n_stored = asked.count(), stored.count()
     slabs = max(-(-2 * partitions(spark) // max(n_asked, 1)), -(-n_stored // SLAB), 1)
-    asked = asked.select("dim", F.col("block").alias("query_block"), F.col("wide").alias("query_wide"), F.col("ids").alias("query_ids"), F.col("data").alias("query_data"))
-    # the stated queries against all rows, in blocks: every block goes once to each query block of its length
-    meets = stored.join(asked.select("dim", "query_block"), "dim").withColumn("slab", F.pmod(F.xxhash64("block"), F.lit(slabs)))
-    dealt = meets.join(asked.drop("dim").withColumn("slab", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slabs - 1).cast("long")))), ["query_block", "slab"])
-    dealt = dealt.select("query_block", "slab", "dim", "wide", "ids", "data", "query_wide", "query_ids", "query_data").sortWithinPartitions("query_block", "slab")
+    shelves = stored.groupBy("dim", F.pmod(F.xxhash64("block"), F.lit(slabs)).alias("slab")).agg(F.collect_list(F.struct("block", "attempt", "wide", "n")).alias("files"))
+    # the stated queries against all rows, in blocks: every slab of files goes once to each query block of its length
+    meets = asked.withColumn("slab", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slabs - 1).cast("long")))).join(shelves, ["dim", "slab"])
+    dealt = meets.select("dim", "block", "attempt", "wide", "n", "files", "slab").repartition(max(min(4 * partitions(spark), n_asked * slabs), 1), "block", "slab")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, now = None, {}
         for batch in batches:
-            for i in range(batch.num_rows):
-                r = {c: batch.column(c)[i] for c in batch.schema.names}
-                dim, wide, asks_wide = (r[c].as_py() for c in ("dim", "wide", "query_wide"))
-                ids, data = np.frombuffer(r["ids"].as_buffer(), "<i8"), np.frombuffer(r["data"].as_buffer(), STORED[wide]).reshape(-1, dim)
-                if (r["query_block"].as_py(), r["slab"].as_py()) != key:
-                    yield from (x.rows() for x in now.values())
-                    key, now = (r["query_block"].as_py(), r["slab"].as_py()), {}
-                exceeds = wide or asks_wide
-                if exceeds not in now:
-                    asked_ids, asked_data = np.frombuffer(r["query_ids"].as_buffer(), "<i8"), np.frombuffer(r["query_data"].as_buffer(), STORED[asks_wide]).reshape(-1, dim)
-                    now[exceeds] = WideSearch(asked_ids, asked_data if asks_wide else asked_data / SCALE, k) if exceeds else Search(asked_ids, asked_data, k)
-                now[exceeds].scan(ids, data / SCALE if exceeds and not wide else data)
-        yield from (x.rows() for x in now.values())
+            for r in batch.to_pylist():
+                own = VectorFile(f"{folder}/asked", r["block"], r["attempt"], r["dim"], r["wide"], r["n"])
+                ids, data = own.all_rows()
+                own.close()
+                narrow, wide = None if r["wide"] else Search(ids, data, k), None
+                for x in r["files"]:
+                    file = VectorFile(folder, x["block"], x["attempt"], r["dim"], x["wide"], x["n"])
+                    if narrow is not None and not file.wide:
+                        narrow.scan(file)
+                    else:
+                        wide = wide or WideSearch(ids, data if r["wide"] else data / SCALE, k)
+                        wide.scan(file)
+                yield from (x.rows() for x in (narrow, wide) if x is not None)
 
     best = dealt.mapInArrow(search, "query_id long, vec_id long, score long, beyond boolean")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
