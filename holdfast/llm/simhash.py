@@ -4,13 +4,16 @@ A fingerprint's bit is 1 if it is set in over half the XXH64 values (seed 42)
 of a text's word shingles. Two fingerprints that differ in at most `radius` of
 64 bits agree wholly in `blocks - radius` of any `blocks` parts of it, so
 fingerprints are compared only within the buckets that share such parts; this
-loses no link. Within a bucket they are sorted by the number of bits set and cut
+loses no link. Within a bucket they are ordered by the number of bits set and cut
 into tiles; numpy's exclusive-or and bit counts compare two tiles exactly, and a
 pair of tiles whose bit counts lie further apart than the radius is skipped.
 
 Buckets beyond a tile are dealt out by pairs of tiles, each pair a group of its
-own, so a large group of near copies is spread over tasks. Equal fingerprints
-are compared once. A pair of tiles yields a forest of links, never all pairs.
+own, so a large group of near copies is spread over tasks; a pair that bit counts
+rule out is not dealt out at all. A fingerprint's tile follows from the counts of
+its bucket by bits set, at most 65 a bucket, so nothing sorts a bucket. Equal
+fingerprints are compared once. A pair of tiles yields a forest of links, never all
+pairs.
 
 Edge cases: a null or wordless text has fingerprint zero and is linked like any
 other; fewer words than a shingle make one shingle; equal rows share a
@@ -31,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import materialise, partitions, row_key, slices, texts
 from .components import components, local_roots
@@ -157,16 +161,36 @@ def tile_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Re
         yield links(pa.Table.from_batches(held))
 
 
+def tile_pairs(placed: DataFrame, large: DataFrame, radius: int, tile: int) -> DataFrame:
+    """placed (choice, part, fingerprint, ones), each row once for every pair of tiles (one, two) that its tile (mine) is in.
+
+    The buckets in large have tiles of about `tile` fingerprints, ascending by bits
+    set, and the pairs whose bit counts come within the radius; all others are one tile.
+    """
+    bucket = ["choice", "part"]
+    counts = placed.join(large, bucket, "left_semi").groupBy(*bucket, "ones").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*bucket).orderBy("ones").rowsBetween(Window.unboundedPreceding, -1)
+    steps = materialise(counts.select(*bucket, "ones", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "steps")
+    place = F.floor((F.col("before") + F.pmod(F.xxhash64("fingerprint"), F.col("n"))) / tile).cast("int")
+    tiled = materialise(placed.join(steps, [*bucket, "ones"], "left").select(*bucket, "fingerprint", "ones", place.alias("mine")), "tiled")
+    edges = materialise(tiled.where("mine is not null").groupBy(*bucket, "mine").agg(F.min("ones").alias("low"), F.max("ones").alias("high")), "edges")
+    first, second = (edges.select(*bucket, F.col("mine").alias(c), F.col("low").alias(f"{c}_low"), F.col("high").alias(f"{c}_high")) for c in ("one", "two"))
+    near = first.join(second, bucket).where((F.col("one") <= F.col("two")) & (F.col("two_low") - F.col("one_high") <= radius))
+    own = near.select(*bucket, F.struct("one", "two").alias("pair"), F.explode(F.array_distinct(F.array("one", "two"))).alias("mine"))
+    lists = own.groupBy(*bucket, "mine").agg(F.collect_list("pair").alias("pairs"))
+    alone = F.array(F.struct(F.lit(0).alias("one"), F.lit(0).alias("two")))
+    spread = tiled.join(lists, [*bucket, "mine"], "left").select(*bucket, F.coalesce("mine", F.lit(0)).alias("mine"), "fingerprint", F.explode(F.coalesce("pairs", alone)).alias("pair"))
+    return spread.select(*bucket, "pair.*", "mine", "fingerprint")
+
+
 def near_links(distinct: DataFrame, n: int, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Links (a, b) that join all fingerprints within the radius of one another; n: rows of distinct."""
     placed = distinct.select("fingerprint", F.explode(buckets(F.col("fingerprint"), block_count(n, radius, tile), radius)).alias("at")).select("fingerprint", "at.*")
-    sized = materialise(placed.groupBy("choice", "part").agg(F.count("*").alias("members")).where(f"members > {tile}"), "large")
+    large = materialise(placed.groupBy("choice", "part").agg(F.count("*").alias("members")).where(F.col("members") > tile).drop("members"), "large")
     ones = F.bit_count("fingerprint").cast("int")
-    large = placed.join(sized, ["choice", "part"], "left").withColumn("tiles", F.coalesce(F.ceil(F.col("members") / tile), F.lit(1)).cast("int"))
-    # large buckets are dealt into tiles by hash; compare() skips on bit counts within each pair
-    mine = F.pmod(F.xxhash64("fingerprint"), F.col("tiles")).cast("int")
-    both = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda k: F.struct(F.least(k, F.col("mine")).alias("one"), F.greatest(k, F.col("mine")).alias("two")))
-    pairs = large.withColumn("mine", mine).select("choice", "part", "mine", "fingerprint", F.explode(both).alias("pair")).select("choice", "part", "pair.*", "mine", "fingerprint")
+    pairs = placed.select("choice", "part", *(F.lit(0).alias(c) for c in ("one", "two", "mine")), "fingerprint")
+    if not large.isEmpty():
+        pairs = tile_pairs(placed.withColumn("ones", ones), large, radius, tile)
     key = ["choice", "part", "one", "two"]
     dealt = pairs.repartition(partitions(distinct.sparkSession), *key).sortWithinPartitions(*key, ones)
     return dealt.mapInArrow(partial(tile_links, radius=radius), "a long, b long")
