@@ -3,14 +3,17 @@
 Writing: the digest of every payload is computed beside the scan; of payloads of
 at least MIN_REVISIT bytes that occur more than once, the record of the largest
 page_id keeps the payload and the others become revisit records that refer to it.
-Each task appends gzip members, one a record, to archives of its own in the
-shared folder, and only the archives of tasks that ended well are listed, so a
-lost executor or a second attempt leaves nothing that is read.
+Payloads then become rows of record and chunk number that hold at most CHUNK bytes,
+in the order of the scan, and each task streams these into gzip members, one a
+record, of archives of its own in the shared folder, with a running SHA-1 that must
+end at the record's digest. Only the archives of tasks that ended well are listed,
+so a lost executor or a second attempt leaves nothing that is read.
 
 Reading: archives are streamed. A payload becomes rows of record identifier and
 chunk number that hold at most CHUNK bytes, with the payload's bytes and SHA-1 up
 to and including that chunk; the row marked last carries those of the whole
-payload. Neither side holds a whole archive, the reader not even a whole record.
+payload. Neither side holds a whole archive or record beside the cell that Spark
+itself reads a payload from.
 
 Edge cases: null html is an empty payload; null ids and urls are left out of the
 record's header and read back as null; a null id never is the response of a group
@@ -35,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch, slices
+from .common import materialise, scratch
 
 MIN_REVISIT = 1000
 CHUNK = 1 << 20
@@ -69,11 +72,15 @@ class ArchiveWriter:
         self.fs.create_dir(path.rpartition("/")[0], recursive=True)
         self.uri, self.out, self.records, self.bytes = uri, self.fs.open_output_stream(path, compression=None), 0, 0
 
-    def add(self, head: bytes, payload: bytes) -> None:
-        pack = zlib.compressobj(1, zlib.DEFLATED, 31)
-        for part in (head, *(payload[i : i + CHUNK] for i in range(0, len(payload), CHUNK)), b"\r\n\r\n"):
-            self._put(pack.compress(part))
-        self._put(pack.flush())
+    def begin(self, head: bytes) -> None:
+        self.pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+        self.put(head)
+
+    def put(self, data: bytes | pa.Buffer) -> None:
+        self._put(self.pack.compress(data))
+
+    def end(self) -> None:
+        self._put(self.pack.compress(b"\r\n\r\n") + self.pack.flush())
         self.records += 1
 
     def _put(self, data: bytes) -> None:
@@ -96,25 +103,44 @@ def decide(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     return joined.select("page_id", "url", "payload", "payload_bytes", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+def payload_chunks(decided: DataFrame, size: int = CHUNK) -> DataFrame:
+    """The record and chunk rows of `decide`: a response's payload in pieces of at most size bytes, a revisit's single row without data."""
+    own = F.col("refers_to").isNull()
+    last = F.when(own, F.greatest(F.ceil(F.col("payload_bytes") / size), F.lit(1)) - 1).otherwise(F.lit(0)).cast("int")
+    rows = decided.select("*", last.alias("last")).select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("chunk"))
+    return rows.select("page_id", "url", "payload_bytes", "digest", "refers_to", "chunk", (F.col("chunk") == F.col("last")).alias("last"), F.when(own, F.substring("payload", F.col("chunk") * size + 1, F.lit(size))).alias("data"))
+
+
+def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, chunk: int = CHUNK) -> DataFrame:
     """Write the pages below folder; the archives as (archive, records, bytes)."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, done, out = TaskContext.get(), [], None
-        for batch in slices(batches, "payload"):
-            for r in batch.to_pylist():
-                if out is None:
-                    out = ArchiveWriter(f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}-{len(done):04d}.warc.gz")
-                out.add(record_head(r["page_id"], r["url"], r["digest"], r["payload_bytes"], r["refers_to"]), r["payload"] if r["refers_to"] is None else b"")
-                if out.bytes >= archive_bytes:
-                    done.append(out.close())
-                    out = None
+        task, done, out, sha, seen = TaskContext.get(), [], None, None, 0
+        for batch in batches:
+            data = batch.column("data")
+            for i, r in enumerate(batch.drop_columns("data").to_pylist()):
+                if not r["chunk"]:
+                    out = out or ArchiveWriter(f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}-{len(done):04d}.warc.gz")
+                    out.begin(record_head(r["page_id"], r["url"], r["digest"], r["payload_bytes"], r["refers_to"]))
+                    sha, seen = hashlib.sha1(), 0
+                if data[i].is_valid:
+                    part = data[i].as_buffer()
+                    out.put(part)
+                    sha.update(part)
+                    seen += part.size
+                if r["last"]:
+                    if r["refers_to"] is None and (sha.hexdigest(), seen) != (r["digest"], r["payload_bytes"]):
+                        raise ValueError(f"the chunks of page {r['page_id']} do not join to its payload")
+                    out.end()
+                    if out.bytes >= archive_bytes:
+                        done.append(out.close())
+                        out = None
         if out is not None:
             done.append(out.close())
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*done)], names=["archive", "records", "bytes"])
 
-    return materialise(decide(pages).mapInArrow(write, "archive string, records long, bytes long"), "archives")
+    return materialise(payload_chunks(decide(pages), chunk).mapInArrow(write, "archive string, records long, bytes long"), "archives")
 
 
 def read_records(stream: io.BufferedIOBase, chunk: int = CHUNK) -> Iterator[dict]:
