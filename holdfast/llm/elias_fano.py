@@ -7,6 +7,8 @@ import json
 import os
 import shutil
 import tempfile
+import uuid
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow.fs
@@ -110,7 +112,7 @@ class EliasFano:
 
 
 def save(uri: str, arrays: dict[str, np.ndarray]) -> None:
-    """Write named arrays to one file that `load` maps."""
+    """Write named arrays to one file that `load` maps; it appears whole, by a rename, and like replaces like."""
     places, at = {}, 0
     for name, x in arrays.items():
         places[name] = [x.dtype.str, at, len(x)]
@@ -119,39 +121,54 @@ def save(uri: str, arrays: dict[str, np.ndarray]) -> None:
     head += b" " * (-len(head) % 8)
     fs, path = pyarrow.fs.FileSystem.from_uri(uri)
     fs.create_dir(path.rpartition("/")[0], recursive=True)
-    with fs.open_output_stream(path, compression=None) as out:
+    part = f"{path}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(part, compression=None) as out:
         out.write(len(head).to_bytes(8, "little") + head)
         for x in arrays.values():
             data = np.ascontiguousarray(x).tobytes()
             out.write(data + bytes(-len(data) % 8))
+    try:
+        fs.move(part, path)
+    except OSError:  # some stores do not rename onto a file, which another attempt has put there
+        if fs.get_file_info(path).type != pyarrow.fs.FileType.File:
+            raise
+        fs.delete_file(part)
 
 
-_OPEN: dict[str, dict[str, np.ndarray]] = {}
-_COPIES: list[str] = []
+#: Files that a worker keeps open.
+OPEN = 512
+_open: OrderedDict[str, dict[str, np.ndarray] | None] = OrderedDict()
+_copies: list[str] = []
 
 
-def _local(uri: str) -> str:
-    """The file itself where the store is a mounted file system, else a copy that goes when the worker ends."""
+def _copy_of(path: str) -> str:
+    if not _copies:
+        _copies.append(tempfile.mkdtemp(prefix="holdfast-levels-"))
+        atexit.register(shutil.rmtree, _copies[0], ignore_errors=True)
+    return os.path.join(_copies[0], path.replace("/", "_"))
+
+
+def load(uri: str) -> dict[str, np.ndarray] | None:
+    """The arrays of a file, memory-mapped: the file itself where the store is a mounted file system, else a copy; None if there is no such file."""
+    if uri in _open:
+        _open.move_to_end(uri)
+        return _open[uri]
     fs, path = pyarrow.fs.FileSystem.from_uri(uri)
-    if isinstance(fs, pyarrow.fs.LocalFileSystem):
-        return path
-    if not _COPIES:
-        _COPIES.append(tempfile.mkdtemp(prefix="holdfast-levels-"))
-        atexit.register(shutil.rmtree, _COPIES[0], ignore_errors=True)
-    copy = os.path.join(_COPIES[0], path.replace("/", "_"))
-    pyarrow.fs.copy_files(uri, copy)
-    return copy
-
-
-def load(uri: str) -> dict[str, np.ndarray]:
-    """The arrays of a file, memory-mapped once in each worker."""
-    if uri not in _OPEN:
-        raw = np.memmap(_local(uri), np.uint8, "r")
+    own, found = isinstance(fs, pyarrow.fs.LocalFileSystem), None
+    if fs.get_file_info(path).type == pyarrow.fs.FileType.File:
+        if not own:
+            pyarrow.fs.copy_files(uri, _copy_of(path))
+        raw = np.memmap(path if own else _copy_of(path), np.uint8, "r")
+        if not own:
+            os.unlink(_copy_of(path))  # its bytes go once it is no longer mapped
         size = int.from_bytes(raw[:8].tobytes(), "little")
         places = json.loads(raw[8 : 8 + size].tobytes())
         body = np.asarray(raw[8 + size :])
-        _OPEN[uri] = {name: body[at : at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, at, n) in places.items()}
-    return _OPEN[uri]
+        found = {name: body[at : at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, at, n) in places.items()}
+    _open[uri] = found
+    while len(_open) > OPEN:
+        _open.popitem(last=False)
+    return found
 
 
 def sequence(arrays: dict[str, np.ndarray], name: str) -> EliasFano:

@@ -1,29 +1,41 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-The model is a bigram model with Dirichlet smoothing,
+The model is a trigram model with Dirichlet smoothing,
 
-    p(w | v) = (c(vw) + MASS * p(w)) / (c(v) + MASS),  p(w) = (c(w) + 1) / (N + V + 1),
+    p(w | u v) = (c(uvw) + MASS * p(w | v)) / (c(uv.) + MASS),
+    p(w | v)   = (c(vw) + MASS * p(w)) / (c(v) + MASS),
+    p(w)       = (c(w) + 1) / (N + V + 1),
 
-over words and the end of a text, which is also the context of the next first
-word. Its trie has two levels in files of the shared folder, memory-mapped by
-the workers and cut into shards by hash, so that no task builds or holds a whole
-level:
+over words and the end of a text, which is also the context of the next first word;
+c(uv.) counts the places where a token follows u v in its text. A text's first token
+has the bigram context alone, an unseen context hands on to the shorter one.
 
-* the vocabulary: the sorted hashes of the words and the running sum of their
-  counts, both Elias-Fano, and quantised p(w) and back-off weights. A word's
+The trie's levels are files of the shared folder, memory-mapped by the workers and
+cut into shards, so that no task builds or holds a whole level:
+
+* the vocabulary, by hash: the sorted hashes of the words and the running sum of
+  their counts, both Elias-Fano, and quantised p(w) and back-off weights. A word's
   number is its place;
-* the successors: sorted contexts, monotone pointers to their first successors,
-  and the successors' numbers. Each number is stored above the last one of the
-  context before it, which makes the whole sequence monotone; it is searched for
-  relative to its context. Beside it stand quantised smoothed log probabilities.
+* bigrams and trigrams, by their first word: sorted contexts u, monotone pointers to
+  their first successors, the successors' numbers v, and for each bigram so found a
+  monotone pointer to its first successor w on the next level. Each number is stored
+  above the last one of the context before it, which makes a whole level monotone; it
+  is searched for relative to its context. Beside them stand quantised p(v | u), a
+  trigram's own share c(uvw) / (c(uv.) + MASS) and its context's weight
+  MASS / (c(uv.) + MASS), by which p(w | v), of another shard, is mixed in.
 
 Probabilities are quantised to 16 bits over [-QUANTISED_RANGE, 0]. Counts are
 exact, over all training texts, and the base score is computed from them.
 
-Words that make up a large part of all tokens are contexts of very many
-successors: their pairs are dealt by pair instead of by context, so no shard
-holds a hot word's successors alone. Pairs are counted in each task before they
-are dealt.
+Training and scoring both turn a text into rows (u, v, w), a token with the one before
+and the one after it: one row stands for a bigram and for the trigram that goes on
+from it, so either side visits a shard once for both. Words that make up a large part of
+all tokens have very many successors: their rows are dealt by (u, v) instead of by u,
+so no shard holds a hot word's successors alone. Rows are counted in each task before
+they are dealt. A scoring task sorts some millions of rows by shard, opens each shard
+once for them, and keeps at most a fixed number open. A shard's file has a name that
+follows from its number and is put in place whole, by a rename: no list of files
+reaches the driver or a task, and a second attempt replaces like by like.
 
 Edge cases: a null or wordless text is one end token; a null id is in no held-out
 fold, so its text is learnt from; equal rows count as often as they occur;
@@ -33,7 +45,7 @@ without training texts every token is unknown; further columns are not read.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain, count
 
@@ -41,7 +53,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,12 +64,12 @@ FOLDS, HELD_OUT = 7, 2
 END = b"\n"
 MASS = 8.0
 QUANTISED_RANGE = 24.0
-#: Words in a vocabulary shard and training tokens to a shard of successors, about.
+#: Words in a vocabulary shard and training tokens to a shard of n-grams, about.
 SHARD_WORDS = 500_000
 SHARD_TOKENS = 2_000_000
-#: Distinct words, and pairs, that a task counts before it hands counts on.
+#: Distinct words, and rows, that a task counts before it hands counts on, and rows that it looks up together.
 HELD_WORDS = 300_000
-HELD_PAIRS = 2_000_000
+HELD_ROWS = 2_000_000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -87,21 +98,28 @@ def dequantise(code: np.ndarray) -> np.ndarray:
     return code * (-QUANTISED_RANGE / 65535)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Vocabulary:
-    """Where the vocabulary's shards are; find() is for workers."""
+    """The vocabulary's shards in a folder; find() and of() are for workers."""
 
-    files: list[str]
-    starts: list[int]  # the number of each shard's first word, and of words in all
+    folder: str
+    shards: int
     total: int  # tokens
     size: int  # distinct tokens
 
+    def file(self, k: int) -> str:
+        return f"{self.folder}/words-{k:06d}.level"
+
+    def known(self, name: str) -> np.ndarray:
+        """`starts`: the number of each shard's first word, and of words in all; `hot`: sorted numbers of hot words."""
+        return load(f"{self.folder}/vocabulary.level")[name]
+
     def find(self, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number (or -1) and count of each word."""
-        number, count = np.full(len(low), -1, np.int64), np.zeros(len(low), np.int64)
-        shard = (high % np.uint64(max(len(self.files), 1))).astype(np.int64)
+        number, count, starts = np.full(len(low), -1, np.int64), np.zeros(len(low), np.int64), self.known("starts")
+        shard = (high % np.uint64(self.shards)).astype(np.int64)
         for k, at in _groups(shard):
-            level = load(self.files[k]) if self.files[k] else None
+            level = load(self.file(k))
             if level is None:
                 continue
             order = at[np.argsort(low[at])]
@@ -109,16 +127,16 @@ class Vocabulary:
             hit = found >= 0
             order, found = order[hit], found[hit]
             sums = sequence(level, "counts")
-            number[order] = self.starts[k] + found
+            number[order] = starts[k] + found
             count[order] = (sums.get(found + 1) - sums.get(found)).astype(np.int64)
         return number, count
 
     def of(self, number: np.ndarray, field: str) -> np.ndarray:
         """Per word number, its count (as a double) or a quantised field."""
-        out = np.zeros(len(number), np.float64)
-        shard = np.searchsorted(self.starts, number, side="right") - 1
+        out, starts = np.zeros(len(number), np.float64), self.known("starts")
+        shard = np.searchsorted(starts, number, side="right") - 1
         for k, at in _groups(shard):
-            level, place = load(self.files[k]), number[at] - self.starts[k]
+            level, place = load(self.file(k)), number[at] - starts[k]
             if field == "counts":
                 sums = sequence(level, "counts")
                 out[at] = sums.get(place + 1) - sums.get(place)
@@ -157,10 +175,11 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "high long, low long, n long").groupBy("high", "low").agg(F.sum("n").alias("n"))
 
 
-def build_vocabulary(counts: DataFrame, folder: str, hot: int) -> tuple[Vocabulary, list[int]]:
-    """The vocabulary's shards, and the numbers of words of more than `hot` tokens."""
+def build_vocabulary(counts: DataFrame, folder: str, hot_of: Callable[[int], int]) -> Vocabulary:
+    """The vocabulary's shards; words of more than hot_of(tokens in all) tokens are hot."""
     total, size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    shards = max(1, -(-size // SHARD_WORDS))
+    made, hot = Vocabulary(folder, max(1, -(-size // SHARD_WORDS)), int(total), int(size)), hot_of(total)
+    shards = made.shards
     # as numpy's remainder of the unsigned half
     shard = F.pmod(F.pmod(F.shiftrightunsigned("high", 1) % shards * 2 + F.col("high").bitwiseAND(F.lit(1)), F.lit(shards)), F.lit(shards)).cast("int")
 
@@ -169,21 +188,19 @@ def build_vocabulary(counts: DataFrame, folder: str, hot: int) -> tuple[Vocabula
             low = low.view(np.uint64)
             order = np.argsort(low)
             low, n = low[order], n[order]
-            uri = f"{folder}/words-{k:05d}-{TaskContext.get().taskAttemptId()}.level"
-            save(uri, named("words", EliasFano.build(low)) | named("counts", EliasFano.build(np.r_[0, np.cumsum(n)])) | {"unigram": quantise(np.log10((n + 1) / (total + size + 1))), "backoff": quantise(np.log10(MASS / (n + MASS)))})
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([uri]), pa.array([len(low)], pa.int64()), pa.array([np.flatnonzero(n > hot).tolist()], pa.list_(pa.int64()))], names=["shard", "uri", "words", "hot"])
+            save(made.file(k), named("words", EliasFano.build(low)) | named("counts", EliasFano.build(np.r_[0, np.cumsum(n)])) | {"unigram": quantise(np.log10((n + 1) / (total + size + 1))), "backoff": quantise(np.log10(MASS / (n + MASS)))})
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([len(low)], pa.int64()), pa.array([np.flatnonzero(n > hot).tolist()], pa.list_(pa.int64()))], names=["shard", "words", "hot"])
 
     dealt = counts.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard")
-    rows = dealt.select("shard", "low", "n").mapInArrow(build, "shard int, uri string, words long, hot array<long>")
-    found = {r.shard: r for r in rows.collect()}  # a row to a shard
-    files, starts, hot_numbers, at = [], [], [], 0
-    for k in range(shards):
-        files.append(found[k].uri if k in found else "")
-        starts.append(at)
-        if k in found:
-            hot_numbers += [at + x for x in found[k].hot]
-            at += found[k].words
-    return Vocabulary(files, starts, int(total), int(size)), hot_numbers
+    words, numbers = np.zeros(shards + 1, np.int64), []
+    found = dealt.select("shard", "low", "n").mapInArrow(build, "shard int, words long, hot array<long>").collect()  # a number to a shard, and at most total / hot hot words
+    for r in found:
+        words[r.shard + 1] = r.words
+    starts = np.cumsum(words)
+    for r in found:
+        numbers += [starts[r.shard] + x for x in r.hot]
+    save(f"{folder}/vocabulary.level", {"starts": starts, "hot": np.sort(np.array(numbers, np.int64))})
+    return made
 
 
 def _whole(batches: Iterator[pa.RecordBatch], key: str, columns: tuple[str, ...]) -> Iterator[tuple]:
@@ -205,179 +222,275 @@ def _whole(batches: Iterator[pa.RecordBatch], key: str, columns: tuple[str, ...]
 
 
 class Numbered:
-    """The texts of a slice as numbers of known words, their counts and where the texts begin."""
+    """The texts of a slice as numbers of known words (-1: unknown), and where the texts begin."""
 
     def __init__(self, found: list[bytes], vocabulary: Vocabulary):
         parts = [tokens(x) for x in found]
         place: dict[bytes, int] = defaultdict(count().__next__)
-        end_place = place[END]
+        place[END]
         self.lengths = np.array([len(p) for p in parts], np.int64)
-        index = np.fromiter(map(place.__getitem__, chain.from_iterable(parts)), np.int64, int(self.lengths.sum()))
-        number, counted = vocabulary.find(*hashes(list(place)))
-        self.index, self.number, self.count = index, number[index], counted[index]
-        self.words = number  # of each distinct word
+        self.index = np.fromiter(map(place.__getitem__, chain.from_iterable(parts)), np.int64, int(self.lengths.sum()))
+        self.words, self.counts = vocabulary.find(*hashes(list(place)))  # of each distinct word
+        self.end = int(self.words[0])
+        self.number = self.words[self.index]
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.before_index = np.r_[end_place, index[:-1]][: len(index)]
-        self.before_index[self.starts] = end_place
-        self.before = number[self.before_index]
 
 
-def pair_keys(before: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
-    if size >= 1 << 32:
-        raise ValueError("the vocabulary has more words than pair keys allow")
-    return before.astype(np.uint64) * np.uint64(size) + word.astype(np.uint64)
+def rows_of(number: np.ndarray, lengths: np.ndarray, end: int, none: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each token between the one before it, `end` at the start of a text, and the one after it, `none` at its end."""
+    stops = np.cumsum(lengths)
+    before, after = np.r_[end, number[:-1]], np.r_[number[1:], none]
+    before[stops - lengths], after[stops - 1] = end, none
+    return before, number, after
+
 
+def row_order(u: np.ndarray, v: np.ndarray, w: np.ndarray, top: int) -> np.ndarray:
+    """An order by u, v and w, numbers from 0 to top; in one key where 64 bits hold it."""
+    bits = int(top).bit_length()
+    if 3 * bits <= 63:
+        return np.argsort((u << (2 * bits)) | (v << bits) | w)
+    return np.lexsort(((v << bits) | w, u) if 2 * bits <= 63 else (w, v, u))
 
-@dataclass
+
+def counted(u: np.ndarray, v: np.ndarray, w: np.ndarray, top: int, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct rows, ascending, and how often each occurs."""
+    order = row_order(u, v, w, top)
+    u, v, w = u[order], v[order], w[order]
+    first = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1])])
+    n = np.diff(np.r_[first, len(u)]) if n is None else np.add.reduceat(n[order], first)
+    return u[first], v[first], w[first], n
+
+
+@dataclass(frozen=True)
 class Trie:
     vocabulary: Vocabulary
-    files: list[str]  # of the successors' shards
-    hot: list[int]
-
-    def shard(self, before: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """The shard of each pair: by its context, or for hot contexts by the pair."""
-        x = mixed(before.astype(np.uint64))
-        if self.hot:
-            by_pair = np.isin(before, self.hot)
-            x = np.where(by_pair, mixed(key), x)
-        return (x % np.uint64(len(self.files))).astype(np.int64)
-
-    def successor(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 p(word | before) of pairs that the model holds, else nan."""
-        out = np.full(len(word), np.nan)
-        key = pair_keys(before, word, self.vocabulary.size)
-        for k, at in _groups(self.shard(before, key)):
-            if self.files[k]:
-                at = at[np.argsort(key[at], kind="stable")]
-                out[at] = find_successors(load(self.files[k]), before[at], word[at])
+    shards: int  # of bigrams and trigrams
+
+    def file(self, k: int) -> str:
+        return f"{self.vocabulary.folder}/grams-{k:07d}.level"
+
+    def shard(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The shard of each row: by its first word, or for hot ones by the first two."""
+        x, hot = mixed(u.astype(np.uint64)), self.vocabulary.known("hot")
+        if len(hot):
+            x = np.where(hot[np.minimum(np.searchsorted(hot, u), len(hot) - 1)] == u, mixed(x + v.astype(np.uint64)), x)
+        return (x % np.uint64(self.shards)).astype(np.int64)
+
+    def look_up(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each row of known u and v: log10 p(v | u) (nan: not held), the share of (u, v, w) and the weight of what is shorter."""
+        out = np.full(len(u), np.nan), np.zeros(len(u)), np.ones(len(u))
+        order = row_order(u, v, w + 2, self.vocabulary.size + 2)
+        for k, at in _groups(self.shard(u[order], v[order])):
+            level = load(self.file(k))
+            if level is not None:
+                rows = order[at]
+                for to, x in zip(out, find_rows(level, u[rows], v[rows], w[rows], self.vocabulary.size)):
+                    to[rows] = x
         return out
 
 
-def build_successors(key: np.ndarray, count: np.ndarray, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """The arrays of a shard of sorted distinct pairs."""
-    before, word = (key // np.uint64(vocabulary.size)).astype(np.int64), (key % np.uint64(vocabulary.size)).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
-    pointers = np.r_[first, len(key)]
-    last = word[pointers[1:] - 1]
-    base = np.r_[0, np.cumsum(last + 1)[:-1]]  # above the last successor of the context before
-    context = np.repeat(np.arange(len(first)), np.diff(pointers))
-    words = np.unique(word)
-    p = (vocabulary.of(words, "counts") + 1) / (vocabulary.total + vocabulary.size + 1)
-    smoothed = (count + MASS * p[np.searchsorted(words, word)]) / (vocabulary.of(before[first], "counts")[context] + MASS)
-    return named("contexts", EliasFano.build(before[first])) | named("pointers", EliasFano.build(pointers)) | named("successors", EliasFano.build(base[context] + word)) | {"bigram": quantise(np.log10(smoothed))}
+def stacked(context: np.ndarray, number: np.ndarray, contexts: int) -> np.ndarray:
+    """Sorted numbers of sorted contexts, each above the last one of the context before."""
+    last = np.zeros(contexts, np.int64)
+    last[context] = number + 1  # the greatest comes last
+    return (np.cumsum(last) - last)[context] + number
 
 
-def find_successors(level: dict[str, np.ndarray], before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """log10 p of each pair of a shard, nan where it has none."""
-    out = np.full(len(word), np.nan)
-    contexts, pointers, successors = (sequence(level, n) for n in ("contexts", "pointers", "successors"))
-    distinct, back = np.unique(before, return_inverse=True)
-    context = contexts.find(distinct)
-    have = context >= 0
-    start, stop, base = (np.zeros(len(distinct), np.int64) for _ in range(3))
-    start[have], stop[have] = pointers.get(context[have]).astype(np.int64), pointers.get(context[have] + 1).astype(np.int64)
-    later = have & (start > 0)
+def build_level(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
+    """The arrays of a shard of sorted distinct rows; a row whose w is the vocabulary's size ends a text."""
+    new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])]
+    first = np.flatnonzero(new)
+    one, two, times = u[first], v[first], np.add.reduceat(n, first)
+    start = np.flatnonzero(np.r_[True, one[1:] != one[:-1]])
+    context = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(one)]))
+    words = np.unique(two)
+    p = (vocabulary.of(words, "counts") + 1) / (vocabulary.total + vocabulary.size + 1)
+    smoothed = (times + MASS * p[np.searchsorted(words, two)]) / (vocabulary.of(one[start], "counts")[context] + MASS)
+    follows = w < vocabulary.size
+    followed = np.add.reduceat(n * follows, first)
+    node, third, times = (np.cumsum(new) - 1)[follows], w[follows], n[follows]
+    return (
+        named("contexts", EliasFano.build(one[start]))
+        | named("pointers", EliasFano.build(np.r_[start, len(one)]))
+        | named("successors", EliasFano.build(stacked(context, two, len(start))))
+        | {"bigram": quantise(np.log10(smoothed)), "weight": quantise(np.log10(MASS / (followed + MASS)))}
+        | named("next_pointers", EliasFano.build(np.r_[0, np.cumsum(np.bincount(node, minlength=len(one)))]))
+        | named("next_successors", EliasFano.build(stacked(node, third, len(one))))
+        | {"share": quantise(np.log10(times / (followed[node] + MASS)))}
+    )
+
+
+def _ranges(pointers: EliasFano, successors: EliasFano, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each context: where its successors begin and end, and above what their numbers are stored."""
+    start, stop = (pointers.get(context + k).astype(np.int64) for k in (0, 1))
+    base, later = np.zeros(len(context), np.int64), start > 0
     base[later] = successors.get(start[later] - 1).astype(np.int64) + 1
-    at = np.flatnonzero(have[back])
-    place = successors.find(base[back[at]] + word[at])
-    hit = (place >= start[back[at]]) & (place < stop[back[at]])
-    out[at[hit]] = dequantise(level["bigram"][place[hit]])
-    return out
+    return start, stop, base
 
 
-def _pack(key: np.ndarray, count: np.ndarray) -> bytes:
-    """Sorted keys and counts, byte by byte of their differences."""
-    gaps = np.diff(key, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
-    return zstandard.ZstdCompressor(level=1).compress(gaps.tobytes() + np.minimum(count, 2**32 - 1).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+def _within(successors: EliasFano, number: np.ndarray, start: np.ndarray, stop: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """The place of each number among its context's successors, or -1."""
+    place = successors.find(base + number)
+    return np.where((place >= start) & (place < stop), place, -1)
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def find_rows(level: dict[str, np.ndarray], u: np.ndarray, v: np.ndarray, w: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trie.look_up of the sorted rows of one shard; no w below 0 or from size on has a trigram."""
+    new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])]
+    first, back = np.flatnonzero(new), np.cumsum(new) - 1
+    one, two = u[first], v[first]
+    start = np.r_[True, one[1:] != one[:-1]]
+    context = sequence(level, "contexts").find(one[start])
+    successors = sequence(level, "successors")
+    ranges = np.zeros((3, len(context)), np.int64)
+    have = context >= 0
+    ranges[:, have] = _ranges(sequence(level, "pointers"), successors, context[have])
+    node = _within(successors, two, *ranges[:, np.cumsum(start) - 1])
+    held = np.flatnonzero(node >= 0)
+    bigram, weight, share = np.full(len(two), np.nan), np.ones(len(two)), np.zeros(len(u))
+    bigram[held], weight[held] = dequantise(level["bigram"][node[held]]), 10 ** dequantise(level["weight"][node[held]])
+    if len(level["share"]):
+        successors = sequence(level, "next_successors")
+        ranges = np.zeros((3, len(two)), np.int64)
+        ranges[:, held] = _ranges(sequence(level, "next_pointers"), successors, node[held])
+        ask = np.flatnonzero((w >= 0) & (w < size) & (ranges[1] > ranges[0])[back])
+        place = _within(successors, w[ask], *ranges[:, back[ask]])
+        hit = place >= 0
+        share[ask[hit]] = 10 ** dequantise(level["share"][place[hit]])
+    return bigram[back], share, weight[back]
+
+
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """The low `width` bytes of each number, all first bytes before all second ones."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _pack(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray, top: int) -> bytes:
+    """Sorted rows and their counts; of u the differences."""
+    width = -(-int(top).bit_length() // 8)
+    return zstandard.ZstdCompressor(level=1).compress(_planes(np.diff(u, prepend=0), width) + _planes(v, width) + _planes(w, width) + _planes(n, 5))
+
+
+def _unpack(data: bytes, top: int) -> tuple[np.ndarray, ...]:
+    width = -(-int(top).bit_length() // 8)
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    n = len(raw) // 12
-    return np.cumsum(np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<u8").ravel(), dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").ravel().astype(np.int64)
-
-
-def _summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, and the sums of their counts."""
-    order = np.argsort(key)
-    key, count = key[order], count[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
-    return key[first], np.add.reduceat(count, first) if len(first) else count
+    rows, at, out = len(raw) // (3 * width + 5), 0, []
+    for bytes_each in (width, width, width, 5):
+        whole = np.zeros((rows, 8), np.uint8)
+        whole[:, :bytes_each] = raw[at : at + rows * bytes_each].reshape(bytes_each, rows).T
+        out.append(whole.view("<i8").ravel())
+        at += rows * bytes_each
+    out[0] = np.cumsum(out[0])
+    return tuple(out)
 
 
 def train(docs: DataFrame) -> Trie:
     """The model of docs(text)."""
-    spark = docs.sparkSession
-    folder = scratch(spark, "trie")
+    folder = scratch(docs.sparkSession, "trie")
     counts = materialise(count_words(docs), "words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shards = max(1, -(-total // SHARD_TOKENS))
-    vocabulary, hot = build_vocabulary(counts, folder, max(1, total // (4 * shards)))
-    trie = Trie(vocabulary, [""] * shards, hot)
-    if not total:
+    shards = lambda total: max(1, -(-total // SHARD_TOKENS))
+    vocabulary = build_vocabulary(counts, folder, lambda total: max(1, total // (4 * shards(total))))
+    trie, size = Trie(vocabulary, shards(vocabulary.total)), vocabulary.size
+    if not size:
         return trie
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
 
         def out() -> pa.RecordBatch:
-            key, count = _summed(*(np.concatenate(x) for x in zip(*held)))
+            u, v, w, n = counted(*(np.concatenate(x) for x in zip(*held)), size)
             held.clear()
-            shard = trie.shard((key // np.uint64(vocabulary.size)).astype(np.int64), key)
-            rows = [(k, _pack(key[at], count[at])) for k, at in _groups(shard)]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "pairs"])
+            packed = [(k, _pack(u[at], v[at], w[at], n[at], size)) for k, at in _groups(trie.shard(u, v))]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in packed], pa.int32()), pa.array([r[1] for r in packed], pa.binary())], names=["shard", "rows"])
 
         for batch in slices(batches, "text"):
             x = Numbered(texts(batch.column("text")), vocabulary)
-            held.append(_summed(pair_keys(x.before, x.number, vocabulary.size), np.ones(len(x.number), np.int64)))
-            if sum(len(k) for k, _ in held) >= HELD_PAIRS:
+            held.append(rows_of(x.number, x.lengths, x.end, size))
+            if sum(len(u) for u, _, _ in held) >= HELD_ROWS:
                 yield out()
         if held:
             yield out()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def level(k: int, held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            uri = f"{folder}/successors-{k:06d}-{TaskContext.get().taskAttemptId()}.level"
-            save(uri, build_successors(*_summed(*(np.concatenate(x) for x in zip(*held))), vocabulary))
-            return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([uri])], names=["shard", "uri"])
+        def level(k: int, held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            u, v, w, n = (np.concatenate(x) for x in zip(*held))
+            save(trie.file(k), build_level(*counted(u, v, w, size, n), vocabulary))
+            return pa.RecordBatch.from_arrays([pa.array([k], pa.int32())], names=["shard"])
 
         now, held = None, []
         for batch in batches:
-            for k, data in zip(batch.column("shard").to_pylist(), batch.column("pairs")):
+            for k, data in zip(batch.column("shard").to_pylist(), batch.column("rows")):
                 if held and k != now:
                     yield level(now, held)
                     held = []
                 now = k
-                held.append(_unpack(data.as_py()))
+                held.append(_unpack(data.as_py(), size))
         if held:
             yield level(now, held)
 
-    dealt = docs.select("text").mapInArrow(pairs, "shard int, pairs binary").repartition(shards, "shard").sortWithinPartitions("shard")
-    for r in dealt.mapInArrow(build, "shard int, uri string").collect():  # a row to a shard
-        trie.files[r.shard] = r.uri
+    dealt = docs.select("text").mapInArrow(rows, "shard int, rows binary").repartition(trie.shards, "shard").sortWithinPartitions("shard")
+    dealt.mapInArrow(build, "shard int").write.format("noop").mode("overwrite").save()
     return trie
 
 
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
+class Round:
+    """Texts whose rows are looked up together."""
+
+    def __init__(self):
+        self.ids, self.lengths, self.known, self.base = [], [], [], []
+        self.number, self.unigram, self.backoff = [], [], []
+        self.end = -1
+        self.rows = 0
+
+    def add(self, ids: pa.Array, found: list[bytes], vocabulary: Vocabulary) -> None:
+        x = Numbered(found, vocabulary)
+        least = vocabulary.total + vocabulary.size + 1
+        known = x.words >= 0
+        unigram, backoff = np.full(len(known), np.log10(1 / least)), np.zeros(len(known))
+        unigram[known], backoff[known] = vocabulary.of(x.words[known], "unigram"), vocabulary.of(x.words[known], "backoff")
+        before = np.r_[0, x.index[:-1]]
+        before[x.starts] = 0  # the end of a text is the first of the distinct words
+        base = np.log10((x.counts + 1) / least)
+        self.ids.append(ids)
+        self.lengths.append(x.lengths)
+        self.known.append(np.add.reduceat(known[x.index].astype(np.int64), x.starts))
+        self.base.append(np.add.reduceat(base[x.index], x.starts))
+        self.number.append(x.number)
+        self.unigram.append(unigram[x.index])
+        self.backoff.append(backoff[before])
+        self.end = x.end
+        self.rows += len(x.number)
+
+    def scores(self, trie: Trie) -> pa.RecordBatch:
+        lengths, number = np.concatenate(self.lengths), np.concatenate(self.number)
+        u, v, w = rows_of(number, lengths, self.end, trie.vocabulary.size)
+        both = np.flatnonzero((u >= 0) & (v >= 0))
+        bigram, share, weight = np.full(len(u), np.nan), np.zeros(len(u)), np.ones(len(u))
+        bigram[both], share[both], weight[both] = trie.look_up(u[both], v[both], w[both])
+        logp = np.where(np.isnan(bigram), np.concatenate(self.unigram) + np.concatenate(self.backoff), bigram)
+        starts = np.cumsum(lengths) - lengths
+        inner = np.ones(len(u), bool)
+        inner[starts] = False
+        inner = np.flatnonzero(inner)
+        logp[inner] = np.log10(share[inner - 1] + weight[inner - 1] * 10 ** logp[inner])
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(self.ids), pa.array(lengths), pa.array(np.concatenate(self.known)), pa.array(np.concatenate(self.base)), pa.array(np.add.reduceat(logp, starts))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
 def score(docs: DataFrame, trie: Trie) -> DataFrame:
     """docs(doc_id, text) scored: doc_id, n_tokens, n_known, base_score, score."""
-    total, size = trie.vocabulary.total, trie.vocabulary.size
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = Round()
         for batch in slices(batches, "text"):
-            x = Numbered(texts(batch.column("text")), trie.vocabulary)
-            known = x.words >= 0
-            unigram, backoff = np.full(len(known), np.log10(1 / (total + size + 1))), np.zeros(len(known))
-            unigram[known], backoff[known] = trie.vocabulary.of(x.words[known], "unigram"), trie.vocabulary.of(x.words[known], "backoff")
-            logp = unigram[x.index] + backoff[x.before_index]
-            both = np.flatnonzero((x.number >= 0) & (x.before >= 0))
-            found = trie.successor(x.before[both], x.number[both])
-            logp[both] = np.where(np.isnan(found), logp[both], found)
-            base = np.log10((x.count + 1) / (total + size + 1))
-            sums = [np.add.reduceat(v, x.starts) for v in ((x.count > 0).astype(np.int64), base, logp)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(x.lengths), *map(pa.array, sums)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            now.add(batch.column("doc_id"), texts(batch.column("text")), trie.vocabulary)
+            if now.rows >= HELD_ROWS:
+                yield now.scores(trie)
+                now = Round()
+        if now.rows:
+            yield now.scores(trie)
 
     return docs.select("doc_id", "text").mapInArrow(rate, SCORES)
 
