@@ -63,6 +63,31 @@ def test_tiles_find_every_link(spark, tile):
     assert [got[i] for i in ids] == slow_components(ids, fps)
 
 
+def test_tiles_of_a_hot_bucket_pair_up_within_the_radius_only(spark):
+    """One bucket of fingerprints that differ in their low half: every near pair meets in a tile pair, far tiles do not meet."""
+    rnd = random.Random(11)
+    fps = sorted({rnd.getrandbits(rnd.randint(1, 32)) for _ in range(1500)})
+    ones = [f.bit_count() for f in fps]
+    df = spark.createDataFrame([(0, 7, f, o) for f, o in zip(fps, ones)] + [(1, 9, 3, 2)], "choice int, part long, fingerprint long, ones int")
+    large = spark.createDataFrame([(0, 7)], "choice int, part long")
+    rows = S.tile_pairs(df, large, 4, 64).collect()
+    assert [(r.one, r.two, r.mine) for r in rows if r.choice == 1] == [(0, 0, 0)]
+    met, tiles = {}, {}
+    for r in rows:
+        if r.choice == 0:
+            met.setdefault((r.one, r.two), set()).add(r.fingerprint)
+            tiles.setdefault(r.mine, set()).add(r.fingerprint)
+    assert sorted(f for t in tiles.values() for f in t) == fps and max(map(len, tiles.values())) < 160
+    for one, two in met:
+        assert min(f.bit_count() for f in tiles[two]) - max(f.bit_count() for f in tiles[one]) <= 4
+    home = {f: t for t, fs in tiles.items() for f in fs}
+    for a in fps[::7]:
+        for b in fps:
+            if (a ^ b).bit_count() <= 4:
+                assert {a, b} <= met[min(home[a], home[b]), max(home[a], home[b])]
+    assert len(met) < len(tiles) * (len(tiles) + 1) // 2
+
+
 def test_all_numbers_of_blocks_lose_no_pair():
     rnd = random.Random(2)
     for blocks in (5, 6, 7, 8):
