@@ -13,14 +13,19 @@ with the logistic loss, by full-batch gradient steps; where the second term is
 negative its gradient is ascended, as the non-negative correction asks.
 
 Inputs of a score are the whole text's byte-class transitions and word and line
-repetition; labels, language, source and id are never inputs. The fit takes at
-most SAMPLE positives and SAMPLE unlabelled rows, those of the smallest hashes
-of their ids; scoring covers every row.
+repetition; labels, language, source and id are never inputs. Of the positives the
+fit takes at most SAMPLE, those of the smallest hashes. The unlabelled text counts
+whole: its features' mean and spread are sums over all its rows, and all its rows
+are dealt by hash into groups of about SAMPLE, each of which estimates a prior and
+minimises the risk against the same positives, in a task of its own. The model is
+the mean of the groups', weighted by their rows: one pass for any number of rows,
+and no task holds more than a group. Scoring covers every row.
 
 Edge cases: a null text is scored as an empty one; rows with null ids are scored
 but not learnt from; an id labelled twice is positive only if all its labels
-are 1; without positives or unlabelled rows every score is 0.5; repeated rows get
-equal scores; extra columns are kept by `keep_good` and not read.
+are 1; without positives or unlabelled rows every score is 0.5; rows equal in id and
+features are learnt from once and get equal scores; extra columns are kept by
+`keep_good` and not read.
 """
 
 from __future__ import annotations
@@ -34,13 +39,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, texts
+from .common import materialise, slices, texts
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
-#: Most rows of each kind that the fit takes.
+#: Most positives that the fit takes, and unlabelled rows of a group, about.
 SAMPLE = 12_000
 CLASSES = 16
+WIDTH = CLASSES * CLASSES + 3
 
 
 def _class_table() -> np.ndarray:
@@ -56,7 +62,7 @@ _TABLE = _class_table()
 
 def features(found: list[bytes]) -> np.ndarray:
     """One row of features per text."""
-    out = np.zeros((len(found), CLASSES * CLASSES + 3), np.float32)
+    out = np.zeros((len(found), WIDTH), np.float32)
     for row, text in zip(out, found):
         kind = _TABLE[np.frombuffer(text, np.uint8)]
         if len(kind) > 1:
@@ -83,7 +89,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-CONSTANT = Model(np.zeros(CLASSES * CLASSES + 3), np.ones(CLASSES * CLASSES + 3), np.zeros(CLASSES * CLASSES + 3), 0.0, 0.5)
+CONSTANT = Model(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH), 0.0, 0.5)
 
 
 def _descend(gradient, width: int, steps: int, rate: float = 0.03, decay: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -122,10 +128,8 @@ def class_prior(pos: np.ndarray, unl: np.ndarray, steps: int = 150) -> float:
     return float(np.clip(above_u[use][at] / above_p[use][at], 0.05, 0.98))
 
 
-def fit_arrays(pos: np.ndarray, unl: np.ndarray, steps: int = 400) -> Model:
-    if not len(pos) or not len(unl):
-        return CONSTANT
-    centre, scale = unl.mean(axis=0, dtype=np.float64), unl.std(axis=0, dtype=np.float64) + 1e-3
+def fit_arrays(pos: np.ndarray, unl: np.ndarray, centre: np.ndarray, scale: np.ndarray, steps: int = 400) -> Model:
+    """The model of one group of unlabelled rows."""
     pos, unl = (np.clip((x - centre) / scale, -4, 4) for x in (pos, unl))
     prior = class_prior(pos, unl)
 
@@ -146,25 +150,65 @@ def remainder(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from the documents outside the held-out fold and from their positive labels."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("id")).where(F.col("id").isNotNull() & (remainder(F.col("id"), FOLDS) != HELD_OUT))
-    known = labels.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
-    order = [F.xxhash64(F.lit("sample"), "id"), F.col("id")]
-    marked = ids.distinct().join(known, "id", "left")
-    pos = marked.where("quality = 1").select("id", F.lit(1).alias("positive")).orderBy(*order).limit(sample)
-    unl = marked.where("quality is null").select("id", F.lit(0).alias("positive")).orderBy(*order).limit(sample)
-    chosen = F.broadcast(pos.union(unl))  # at most twice the sample
-    train = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(chosen, "id").select("id", "positive", "text")
+def _stacked(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, WIDTH)
+
+
+def _sums(rows: DataFrame, width: int) -> np.ndarray:
+    """The sums over the arrays v of all rows."""
+    return np.array(rows.agg(*(F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(width))).first(), np.float64)
+
+
+def _batch(v: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v.tolist()], pa.list_(pa.float64()))], names=["v"])
+
+
+def feature_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, positive, x) of the distinct rows outside the held-out fold that are positive or unlabelled."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             x = features(texts(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("positive"), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "positive", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "x"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    rows = rows.where(F.col("id").isNotNull() & (remainder(F.col("id"), FOLDS) != HELD_OUT))
+    known = labels.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
+    both = rows.mapInArrow(measure, "id long, x binary").join(known, "id", "left").where("quality is null or quality = 1")
+    return both.select("id", F.col("quality").isNotNull().alias("positive"), "x").distinct()
 
-    rows = sorted((tuple(r) for r in train.mapInArrow(measure, "id long, positive int, x binary").collect()), key=lambda r: (r[0], bytes(r[2])))
-    sides = [np.array([np.frombuffer(x, np.float32) for _, p, x in rows if p == k], np.float32) for k in (1, 0)]
-    return fit_arrays(*sides)
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Learn from the documents outside the held-out fold and from their positive labels."""
+    spark = docs.sparkSession
+    rows = materialise(feature_rows(docs, labels), "features")
+    n = {r.positive: r["count"] for r in rows.groupBy("positive").count().collect()}
+    if len(n) < 2:
+        return CONSTANT
+    unl = rows.where(~F.col("positive"))
+    marked = rows.where("positive").select("id", "x", F.xxhash64(F.lit("sample"), "id", "x").alias("draw"))
+    first = F.broadcast(marked.select("draw", "id").orderBy("draw", "id").limit(sample))  # its size is bounded
+    chosen = sorted((r.id, bytes(r.x)) for r in marked.join(first, ["draw", "id"]).select("id", "x").collect())
+    pos = spark.sparkContext.broadcast(np.frombuffer(b"".join(x for _, x in chosen), np.float32).reshape(-1, WIDTH))
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = np.zeros(2 * WIDTH)
+        for batch in batches:
+            x = _stacked(batch.column("x")).astype(np.float64)
+            v += np.r_[x.sum(axis=0), (x * x).sum(axis=0)]
+        yield _batch(v)
+
+    total = _sums(unl.mapInArrow(moments, "v array<double>"), 2 * WIDTH) / n[False]
+    centre, scale = total[:WIDTH], np.sqrt(np.maximum(total[WIDTH:] - total[:WIDTH] ** 2, 0)) + 1e-3
+
+    def learn(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("id", "ascending"), ("x", "ascending")])
+        model = fit_arrays(pos.value, _stacked(group.column("x")), centre, scale)
+        return pa.Table.from_batches([_batch(len(group) * np.r_[model.weights, model.bias, model.prior])])
+
+    groups = F.pmod(F.xxhash64("id", "x"), F.lit(-(-n[False] // sample)))
+    mean = _sums(unl.withColumn("group", groups).groupBy("group").applyInArrow(learn, "v array<double>"), WIDTH + 2) / n[False]
+    return Model(centre, scale, mean[:WIDTH], float(mean[WIDTH]), float(mean[WIDTH + 1]))
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

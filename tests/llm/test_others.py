@@ -479,13 +479,84 @@ def test_held_out_accuracy(spark):
     assert all((r.score >= 0.7) == bool(r.predicted) for r in got)
 
 
+def test_groups_of_unlabelled_rows_agree_with_one(spark):
+    """The mean of many groups' models scores the held-out rows as well as one group's."""
+    docs, labels = labelled(spark)
+    one, many = classifier.fit(docs, labels), classifier.fit(docs, labels, 150)
+    assert np.allclose(one.centre, many.centre) and np.allclose(one.scale, many.scale)
+    assert abs(one.prior - many.prior) < 0.1
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    for model in (one, many):
+        got = classifier.score_documents(docs, model).where("held_out").collect()
+        known = [(r.predicted, truth[r.doc_id]) for r in got if r.doc_id in truth]
+        assert sum(a == b for a, b in known) / len(known) > 0.95
+
+
+def test_fit_against_brute_force(spark):
+    """Which rows the fit learns from, their mean and spread, and the risk's minimiser, on a small table."""
+    rnd = random.Random(12)
+    data = [(k, " ".join(rnd.choice(["alpha", "beta!", "GAMMA", "x1"]) for _ in range(rnd.randint(0, 30)))) for k in range(120)]
+    data += [data[3], data[3], (None, "alpha"), (7, "another text of seven")]
+    docs = spark.createDataFrame([(*r, "extra") for r in data], "doc_id long, text string, x string")
+    marks = [(k, k % 3 % 2) for k in range(0, 90)] + [(3, 0), (None, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    known = {}
+    for k, q in marks:
+        known[k] = min(q, known.get(k, q))
+    free = [(k, t) for k, t in sorted(set(data), key=repr) if k is not None and zlib.crc32(str(k).encode()) % 4 != 2]
+    pos, unl = (classifier.features([t.encode() for k, t in sorted(free) if known.get(k) == q]) for q in (1, None))
+    model = classifier.fit(docs, labels)
+    assert np.allclose(model.centre, unl.mean(axis=0), atol=1e-6) and np.allclose(model.scale, unl.std(axis=0) + 1e-3, atol=1e-5)
+    want = classifier.fit_arrays(pos, unl, model.centre, model.scale)
+    assert abs(model.prior - want.prior) < 0.2 and np.corrcoef(model.weights, want.weights)[0, 1] > 0.9
+    got = classifier.classify(docs, labels).collect()
+    assert len(got) == len(data)
+    assert len({r.score for r in got if r.doc_id == 3}) == 1  # repeated rows score alike
+    texts_ = {(k, t) for k, t in data}
+    want_score = {(k, t): float(model.score(classifier.features([t.encode()]))[0]) for k, t in texts_}
+    assert sorted((str(r.doc_id), round(r.score, 4)) for r in got) == sorted((str(k), round(want_score[k, t], 4)) for k, t in data)
+
+
+def test_risk_is_the_non_negative_one():
+    """The step directions are those of the risk in the docstring, by finite differences."""
+    rng = np.random.default_rng(3)
+    pos, unl = rng.normal(0.4, 1, (40, 3)), rng.normal(0, 1, (90, 3))
+    seen = []
+
+    def watch(gradient, width, steps, **_):
+        for _ in range(4):
+            theta = rng.normal(0, 1.5, width + 1)
+            seen.append((theta, np.r_[gradient(theta[:-1], theta[-1])]))
+        return np.zeros(width), 0.0
+
+    old, classifier._descend = classifier._descend, watch
+    prior, classifier.class_prior = classifier.class_prior, lambda *_: 0.6
+    try:
+        classifier.fit_arrays(pos, unl, np.zeros(3), np.ones(3))
+    finally:
+        classifier._descend, classifier.class_prior = old, prior
+    p, u = np.clip(pos, -4, 4), np.clip(unl, -4, 4)
+
+    def parts(t):
+        zp, zu = p @ t[:-1] + t[-1], u @ t[:-1] + t[-1]
+        return 0.6 * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - 0.6 * np.logaddexp(0, zp).mean()
+
+    for theta, got in seen:
+        def goal(t):
+            plus, minus = parts(t)
+            return plus + minus if parts(theta)[1] >= 0 else -minus
+
+        want = [(goal(theta + e) - goal(theta - e)) / 2e-6 for e in 1e-6 * np.eye(4)]
+        assert np.allclose(got, want, atol=1e-5)
+
+
 def test_class_prior_is_close():
     rng = np.random.default_rng(0)
     pos, neg = rng.normal(1, 0.5, (4000, 5)), rng.normal(-1, 0.5, (4000, 5))
     unlabelled = np.r_[pos[:2100], neg[:900]]
     rng.shuffle(unlabelled)
     assert classifier.class_prior(pos[2100:], unlabelled) == pytest.approx(0.7, abs=0.05)
-    model = classifier.fit_arrays(pos[2100:].astype(np.float32), unlabelled.astype(np.float32))
+    model = classifier.fit_arrays(pos[2100:], unlabelled, unlabelled.mean(axis=0), unlabelled.std(axis=0))
     assert (model.score(pos) > 0.5).mean() > 0.98 and (model.score(neg) < 0.5).mean() > 0.98
 
 
