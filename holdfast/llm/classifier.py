@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, slices, texts
+from .common import materialise, release, slices, texts
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -184,6 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = materialise(feature_rows(docs, labels), "features")
     n = {r.positive: r["count"] for r in rows.groupBy("positive").count().collect()}
     if len(n) < 2:
+        release(rows)
         return CONSTANT
     unl = rows.where(~F.col("positive"))
     marked = rows.where("positive").select("id", "x", F.xxhash64(F.lit("sample"), "id", "x").alias("draw"))
@@ -208,6 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     groups = F.pmod(F.xxhash64("id", "x"), F.lit(-(-n[False] // sample)))
     mean = _sums(unl.withColumn("group", groups).groupBy("group").applyInArrow(learn, "v array<double>"), WIDTH + 2) / n[False]
+    release(rows)
     return Model(centre, scale, mean[:WIDTH], float(mean[WIDTH]), float(mean[WIDTH + 1]))
 
 

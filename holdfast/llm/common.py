@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
-from ..sources.scratch import materialise, shared_dir
+from ..sources.scratch import materialise, release, scratch_path, shared_dir
 
-__all__ = ["importable", "materialise", "partitions", "row_key", "scratch", "shared_dir", "slices", "texts"]
+__all__ = ["importable", "materialise", "partitions", "release", "row_key", "scratch", "shared_dir", "slices", "texts"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
 SLICE_BYTES = 4 << 20
@@ -31,7 +30,7 @@ def importable(spark: SparkSession) -> None:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/holdfast/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 def partitions(spark: SparkSession) -> int:

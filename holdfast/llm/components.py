@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 
 
 def local_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -38,6 +38,9 @@ def components(links: DataFrame) -> DataFrame:
         seen = materialise(near.union(labels).groupBy("node").agg(F.min("root").alias("root")), "labels")
         up = seen.select(F.col("node").alias("root"), F.col("root").alias("top"))
         after = materialise(seen.join(up, "root").select("node", F.least("root", "top").alias("root")), "labels")
-        if not after.join(labels.withColumnRenamed("root", "was"), "node").where("root <> was").limit(1).count():
+        settled = after.join(labels.withColumnRenamed("root", "was"), "node").where("root <> was").isEmpty()
+        release(labels, seen)
+        if settled:
+            release(both)
             return after
         labels = after

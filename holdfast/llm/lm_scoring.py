@@ -57,7 +57,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .classifier import remainder
-from .common import materialise, scratch, slices, texts
+from .common import materialise, release, scratch, slices, texts
 from .elias_fano import EliasFano, load, named, save, sequence
 
 FOLDS, HELD_OUT = 7, 2
@@ -390,6 +390,7 @@ def train(docs: DataFrame) -> Trie:
     counts = materialise(count_words(docs), "words")
     shards = lambda total: max(1, -(-total // SHARD_TOKENS))
     vocabulary = build_vocabulary(counts, folder, lambda total: max(1, total // (4 * shards(total))))
+    release(counts)
     trie, size = Trie(vocabulary, shards(vocabulary.total)), vocabulary.size
     if not size:
         return trie

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, slices, texts
+from .common import materialise, release, slices, texts
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -249,9 +249,13 @@ def estimates(vectors: DataFrame) -> DataFrame:
         near = rows.join(_small(found), "g").withColumn("bin", F.least(F.floor(16 * F.log2(1 + F.greatest(distance(), F.lit(0.0)))), F.lit(BINS - 1)).cast("int"))
         binned = near.groupBy("g", "bin").agg(F.count("*").alias("n"), *sums)
         # stored first: else one exchange by g would serve both steps, and carry every task's bins of a group to one task
-        found = materialise(materialise(binned, "bins").groupBy("g").applyInPandas(_concentrate, ESTIMATE), "estimates")
+        before, bins = found, materialise(binned, "bins")
+        found = materialise(bins.groupBy("g").applyInPandas(_concentrate, ESTIMATE), "estimates")
+        release(before, bins)
     inner = rows.join(_small(found), "g").where(distance() <= INNER_CUT).groupBy("g").agg(F.first("rows").alias("rows"), F.count("*").alias("n"), *sums)
-    return materialise(inner.mapInPandas(lambda batches: map(_reweighted, batches), ESTIMATE), "estimates")
+    out = materialise(inner.mapInPandas(lambda batches: map(_reweighted, batches), ESTIMATE), "estimates")
+    release(rows, medians, found)
+    return out
 
 
 def judge(stats: DataFrame) -> DataFrame:

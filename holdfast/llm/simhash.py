@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import materialise, partitions, row_key, slices, texts
+from .common import materialise, partitions, release, row_key, slices, texts
 from .components import components, local_roots
 
 WORDS = 4
@@ -203,8 +203,10 @@ def near_duplicates(marked: DataFrame, radius: int = RADIUS, tile: int = TILE) -
     found = components(links)
     rooted = distinct.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     rooted = materialise(rooted, "rooted")
+    release(links, distinct, found)
     least = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     named = materialise(rooted.join(least, "root").select("fingerprint", "root", "component_id"), "named")
+    release(rooted, least)
     return marked.join(named, "fingerprint")
 
 

@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, partitions, row_key, slices, texts
+from .common import materialise, partitions, release, row_key, slices, texts
 
 LENGTH = 400
 GRAM = 100
@@ -305,20 +305,26 @@ def split_types(types: DataFrame, strings: int, length: int) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, length: int, gram: int, most_types: int, splits: tuple[int, ...], code: Callable[[bytes], bytes]) -> DataFrame:
-    """docs (key_a, key_b, hf_text) to the ranges to remove of the coded text: key_a, key_b, start, stop; ranges may touch or overlap."""
+    """docs (key_a, key_b, hf_text) to the ranges (start, stop) to remove of the coded text: key_a, key_b, spans; ranges may touch or overlap."""
     runs = materialise(find_runs(docs, length, gram, code), "runs")
     twice = materialise(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     segments = materialise(fetch_segments(docs, runs.join(twice, "anchor"), length, code), "segments")
+    release(runs, twice)
     types = segments.groupBy("anchor", "type_a", "type_b").agg(F.count("*").alias("weight"), F.max("place").alias("place"), F.max("segment").alias("segment"))
     levels: list[tuple[DataFrame, DataFrame | None]] = []  # marks of a level, and its types' places in those above
-    places = None
+    places, used = None, []
     for strings in (*splits, None):
         types = materialise(types, "types")
         hot = materialise(types.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > most_types), "hot")
-        levels.append((materialise(mark_types(types.join(hot, "anchor", "left_anti"), length), "marks"), places))
+        marks = materialise(mark_types(types.join(hot, "anchor", "left_anti"), length), "marks")
+        levels.append((marks, places))
+        used.append(marks)
         if strings is None or hot.isEmpty():
+            release(types, hot)
             break
         parts = materialise(split_types(types.join(hot, "anchor", "left_semi"), strings, length), "parts")
+        used.append(parts)
+        release(types, hot)
         places = parts.select("type_a", "type_b", "parent_a", "parent_b", "offset").distinct()
         types = parts.groupBy("anchor", "type_a", "type_b").agg(F.sum("weight").alias("weight"), F.max("place").alias("place"), F.max("segment").alias("segment"))
     marks = None
@@ -326,9 +332,12 @@ def repeated_ranges(docs: DataFrame, length: int, gram: int, most_types: int, sp
         marks = own if marks is None else own.union(marks)
         if above is not None:
             marks = marks.join(above, ["type_a", "type_b"]).select(F.col("parent_a").alias("type_a"), F.col("parent_b").alias("type_b"), (F.col("start") + F.col("offset")).alias("start"), (F.col("stop") + F.col("offset")).alias("stop"))
-    marks = materialise(marks, "marks")
     where = segments.select("type_a", "type_b", "key_a", "key_b", "first").distinct()
-    return where.join(marks, ["type_a", "type_b"]).select("key_a", "key_b", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("stop") - 1 + length).alias("stop"))
+    ranges = where.join(marks, ["type_a", "type_b"]).select("key_a", "key_b", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("stop") - 1 + length).alias("stop"))
+    lists = ranges.groupBy("key_a", "key_b").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    found = materialise(lists, "spans")
+    release(segments, *used)
+    return found
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -338,9 +347,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def _spans(docs: DataFrame, length: int, gram: int, most_types: int, splits: tuple[int, ...], code: Callable[[bytes], bytes] = bytes) -> DataFrame:
     """docs with hf_spans, the ranges to remove (null: none)."""
     keys = docs.select(F.col("hf_key_a").alias("key_a"), F.col("hf_key_b").alias("key_b"), F.col("text").cast("string").alias("hf_text"))
-    ranges = repeated_ranges(keys, length, gram, most_types, splits, code)
-    lists = ranges.groupBy(F.col("key_a").alias("hf_key_a"), F.col("key_b").alias("hf_key_b")).agg(F.collect_set(F.struct("start", "stop")).alias("hf_spans"))
-    return docs.join(materialise(lists, "spans"), ["hf_key_a", "hf_key_b"], "left")
+    lists = repeated_ranges(keys, length, gram, most_types, splits, code)
+    return docs.join(lists.select(*(F.col(c).alias(f"hf_{c}") for c in lists.columns)), ["hf_key_a", "hf_key_b"], "left")
 
 
 def merged_spans(spans: list[dict] | None) -> list[tuple[int, int]]:

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialise, partitions, scratch
+from .common import materialise, partitions, release, scratch
 
 K = 20
 SCALE = 64
@@ -318,6 +318,7 @@ def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP, block: i
     rows = materialise(quantised(vectors, k if equal_rows else 1), "quantised")
     stored = materialise(blocks(rows, block, folder, k), "blocks")
     asked = materialise(blocks(rows.where(F.col("vec_id") % query_step == 0).repartition(1 + rows.count() // (query_step * query_block), F.xxhash64("vec_id", "q", "r")), query_block, f"{folder}/asked"), "queries")
+    release(rows)
     n_asked, n_stored = asked.count(), stored.count()
     slabs = max(-(-2 * partitions(spark) // max(n_asked, 1)), -(-n_stored // SLAB), 1)
     shelves = stored.groupBy("dim", F.pmod(F.xxhash64("block"), F.lit(slabs)).alias("slab")).agg(F.collect_list(F.struct("block", "attempt", "wide", "n")).alias("files"))
