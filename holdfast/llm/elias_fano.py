@@ -86,8 +86,8 @@ class EliasFano:
         out[inside] = 64 * word + select_in_word(~self.high[word], rank - self.zeros[word].astype(np.int64)) - rank
         return out
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """The index of the first element equal to each x, or -1."""
+    def find(self, x: np.ndarray, least: np.ndarray | None = None, most: np.ndarray | None = None) -> np.ndarray:
+        """The index of the first element equal to each x, or -1; where given, from index `least` on and before `most`."""
         out = np.full(len(x), -1, np.int64)
         x = x.astype(U64)
         upper = (x >> U64(self.bits)).astype(np.int64)
@@ -97,6 +97,8 @@ class EliasFano:
         upper, low = upper[active], x[active] & U64((1 << self.bits) - 1)
         # a group of equal high bits lies between two zeros; its low bits ascend, and it may be long
         start, stop = self._ended(upper - 1), self._ended(upper)
+        if least is not None:
+            start, stop = np.maximum(start, least[active]), np.minimum(stop, most[active])
         end = stop.copy()
         open_ = np.flatnonzero(start < stop)
         while len(open_):

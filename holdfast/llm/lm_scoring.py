@@ -44,20 +44,19 @@ without training texts every token is unknown; further columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .classifier import remainder
-from .common import materialise, release, scratch, slices, texts
+from .common import materialise, release, scratch, slices
 from .elias_fano import EliasFano, load, named, save, sequence
 
 FOLDS, HELD_OUT = 7, 2
@@ -67,15 +66,30 @@ QUANTISED_RANGE = 24.0
 #: Words in a vocabulary shard and training tokens to a shard of n-grams, about.
 SHARD_WORDS = 500_000
 SHARD_TOKENS = 2_000_000
-#: Distinct words, and rows, that a task counts before it hands counts on, and rows that it looks up together.
-HELD_WORDS = 300_000
-HELD_ROWS = 2_000_000
-
-
-def tokens(text: bytes) -> list[bytes]:
-    found = text.lower().split()
-    found.append(END)
-    return found
+#: Words, and rows, that a task counts before it hands counts on, and rows that it looks up together.
+HELD_WORDS = 1_000_000
+HELD_ROWS = 1_000_000
+
+
+class Tokens:
+    """The texts of a batch as places in a list of distinct words, END first; a text's tokens are its words and one END."""
+
+    def __init__(self, column: pa.Array):
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+        flat = parts.flatten().dictionary_encode()
+        place = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        text = np.repeat(np.arange(len(parts)), parts.value_lengths().to_numpy(zero_copy_only=False))
+        if (void := pc.index(flat.dictionary, "").as_py()) >= 0:  # before leading and after trailing white space
+            words = place != void + 1
+            place, text = place[words], text[words]
+        self.lengths = np.bincount(text, minlength=len(parts)) + 1
+        self.stops = np.cumsum(self.lengths)
+        self.starts = self.stops - self.lengths
+        at_word = np.ones(int(self.lengths.sum()), bool)
+        at_word[self.stops - 1] = False
+        self.index = np.zeros(len(at_word), np.int64)
+        self.index[at_word] = place
+        self.words = [END, *flat.dictionary.cast(pa.binary()).to_pylist()]
 
 
 def hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -156,19 +170,23 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(high, low, n): how often each token occurs in docs(text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: list[tuple[np.ndarray, ...]] = []
 
         def out() -> pa.RecordBatch:
-            high, low = hashes(list(held))
-            n = np.fromiter(held.values(), np.int64, len(held))
+            high, low, n = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(high.view(np.int64)), pa.array(low.view(np.int64)), pa.array(n)], names=["high", "low", "n"])
+            order = np.lexsort((high, low))
+            high, low = high[order], low[order]
+            first = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+            return pa.RecordBatch.from_arrays([pa.array(high[first].view(np.int64)), pa.array(low[first].view(np.int64)), pa.array(np.add.reduceat(n[order], first))], names=["high", "low", "n"])
 
         for batch in slices(batches, "text"):
-            for text in texts(batch.column("text")):
-                held.update(tokens(text))
-                if len(held) >= HELD_WORDS:
-                    yield out()
+            x = Tokens(batch.column("text"))
+            n = np.bincount(x.index, minlength=len(x.words))
+            some = np.flatnonzero(n)
+            held.append((*hashes([x.words[k] for k in some.tolist()]), n[some]))
+            if sum(len(n) for _, _, n in held) >= HELD_WORDS:
+                yield out()
         if held:
             yield out()
 
@@ -221,19 +239,14 @@ def _whole(batches: Iterator[pa.RecordBatch], key: str, columns: tuple[str, ...]
         yield now, *(np.concatenate(x) for x in zip(*held))
 
 
-class Numbered:
-    """The texts of a slice as numbers of known words (-1: unknown), and where the texts begin."""
+class Numbered(Tokens):
+    """Tokens, and the numbers of the distinct words (-1: unknown) and how often each was counted."""
 
-    def __init__(self, found: list[bytes], vocabulary: Vocabulary):
-        parts = [tokens(x) for x in found]
-        place: dict[bytes, int] = defaultdict(count().__next__)
-        place[END]
-        self.lengths = np.array([len(p) for p in parts], np.int64)
-        self.index = np.fromiter(map(place.__getitem__, chain.from_iterable(parts)), np.int64, int(self.lengths.sum()))
-        self.words, self.counts = vocabulary.find(*hashes(list(place)))  # of each distinct word
-        self.end = int(self.words[0])
-        self.number = self.words[self.index]
-        self.starts = np.cumsum(self.lengths) - self.lengths
+    def __init__(self, column: pa.Array, vocabulary: Vocabulary):
+        super().__init__(column)
+        self.numbers, self.counts = vocabulary.find(*hashes(self.words))
+        self.end = int(self.numbers[0])
+        self.number = self.numbers[self.index]
 
 
 def rows_of(number: np.ndarray, lengths: np.ndarray, end: int, none: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -330,8 +343,7 @@ def _ranges(pointers: EliasFano, successors: EliasFano, context: np.ndarray) ->
 
 def _within(successors: EliasFano, number: np.ndarray, start: np.ndarray, stop: np.ndarray, base: np.ndarray) -> np.ndarray:
     """The place of each number among its context's successors, or -1."""
-    place = successors.find(base + number)
-    return np.where((place >= start) & (place < stop), place, -1)
+    return successors.find(base + number, start, stop)
 
 
 def find_rows(level: dict[str, np.ndarray], u: np.ndarray, v: np.ndarray, w: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -405,7 +417,7 @@ def train(docs: DataFrame) -> Trie:
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in packed], pa.int32()), pa.array([r[1] for r in packed], pa.binary())], names=["shard", "rows"])
 
         for batch in slices(batches, "text"):
-            x = Numbered(texts(batch.column("text")), vocabulary)
+            x = Numbered(batch.column("text"), vocabulary)
             held.append(rows_of(x.number, x.lengths, x.end, size))
             if sum(len(u) for u, _, _ in held) >= HELD_ROWS:
                 yield out()
@@ -446,12 +458,12 @@ class Round:
         self.end = -1
         self.rows = 0
 
-    def add(self, ids: pa.Array, found: list[bytes], vocabulary: Vocabulary) -> None:
+    def add(self, ids: pa.Array, found: pa.Array, vocabulary: Vocabulary) -> None:
         x = Numbered(found, vocabulary)
         least = vocabulary.total + vocabulary.size + 1
-        known = x.words >= 0
+        known = x.numbers >= 0
         unigram, backoff = np.full(len(known), np.log10(1 / least)), np.zeros(len(known))
-        unigram[known], backoff[known] = vocabulary.of(x.words[known], "unigram"), vocabulary.of(x.words[known], "backoff")
+        unigram[known], backoff[known] = vocabulary.of(x.numbers[known], "unigram"), vocabulary.of(x.numbers[known], "backoff")
         before = np.r_[0, x.index[:-1]]
         before[x.starts] = 0  # the end of a text is the first of the distinct words
         base = np.log10((x.counts + 1) / least)
@@ -486,7 +498,7 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = Round()
         for batch in slices(batches, "text"):
-            now.add(batch.column("doc_id"), texts(batch.column("text")), trie.vocabulary)
+            now.add(batch.column("doc_id"), batch.column("text"), trie.vocabulary)
             if now.rows >= HELD_ROWS:
                 yield now.scores(trie)
                 now = Round()
