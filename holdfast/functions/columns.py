@@ -50,6 +50,11 @@ def sanitise_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*sanitised(df.columns))
 
 
+def key128(*cells: Column) -> list[Column]:
+    """Two longs that stand for the cells as a key: 128 bits of their content."""
+    return [F.xxhash64(*cells), F.xxhash64(F.lit("second half"), *cells)]
+
+
 def quoted(name: str) -> Column:
     """A column by its whole name, dots and slashes included."""
     return F.col(f"`{name}`")

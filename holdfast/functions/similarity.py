@@ -148,7 +148,9 @@ def jaro_winkler(a: str, b: str) -> float:
 
 def _pandas(f: Callable[[str, str], float], kind: str) -> Callable[[Column, Column], Column]:
     def each(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b)], dtype="object")
+        pairs = list(zip(a, b))
+        scores = {p: None if p[0] is None or p[1] is None else f(*p) for p in set(pairs)}  # a pair of names often comes again
+        return pd.Series([scores[p] for p in pairs], dtype="object")
 
     return F.pandas_udf(each, kind)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.collected import bounded
 from ..specs import TextSpec
 
 
@@ -38,14 +39,16 @@ def remove_nums(c: Column) -> Column:
 
 
 def replace_values(c: Column, values: dict[str, str]) -> Column:
-    """Each pattern in turn, inside words as well."""
+    """Each pattern in turn, inside words as well; plain letters need no regular expression."""
     for old, new in values.items():
-        c = F.regexp_replace(c, old, new)
+        c = F.replace(c, F.lit(old), F.lit(new)) if old.isalnum() and new.isalnum() else F.regexp_replace(c, old, new)
     return c
 
 
-def tokens(c: Column, min_length: int = 1, unicode: bool = False) -> Column:
-    return F.filter(F.split(F.lower(c), r"(?U)\W" if unicode else r"\W"), lambda t: F.length(t) >= min_length)
+def tokens(c: Column, min_length: int = 1, unicode: bool = False, lowered: bool = False) -> Column:
+    """The words of at least min_length characters, in lower case (lowered: the text is)."""
+    parts = F.split(c if lowered else F.lower(c), r"(?U)\W" if unicode else r"\W")
+    return F.array_remove(parts, "") if min_length <= 1 else F.filter(parts, lambda t: F.length(t) >= min_length)
 
 
 def remove_stopwords(c: Column, extra: tuple[str, ...] = ()) -> Column:
@@ -55,7 +58,7 @@ def remove_stopwords(c: Column, extra: tuple[str, ...] = ()) -> Column:
 
 
 def sort_tokens(c: Column) -> Column:
-    return F.array_sort(c)
+    return F.sort_array(c)  # compiled, unlike array_sort with its comparator; there are no nulls
 
 
 def normalise(c: Column, spec: TextSpec) -> Column:
@@ -69,7 +72,8 @@ def normalise(c: Column, spec: TextSpec) -> Column:
     c = replace_values(c, spec.replace)
     if not spec.tokenize:
         return c
-    c = tokens(c, spec.min_token_length, spec.unicode)
+    lowered = spec.lower_case and all(v == v.lower() for v in spec.replace.values())
+    c = tokens(c, spec.min_token_length, spec.unicode, lowered)
     if spec.remove_stopwords:
         c = remove_stopwords(c, spec.extra_stopwords)
     return sort_tokens(c) if spec.sort_tokens else c
@@ -88,8 +92,8 @@ def vocabulary(df: DataFrame, column: str) -> DataFrame:
     return counts.join(ranks, counts["count"] == ranks["size"]).select("id", "exploded", "count")
 
 
-def top_words(df: DataFrame, column: str, n: int) -> list[str]:
-    """The tokens with fewer than n tokens above them, ties included, in order."""
+def top_words(df: DataFrame, column: str, n: int, most: int = 10_000) -> list[str]:
+    """The tokens with fewer than n tokens above them, ties included, in order; an error if there are more than `most`."""
     counts = df.select(F.explode(tokens(F.col(column))).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
     ranked = counts.withColumn("r", F.rank().over(Window.orderBy(F.desc("n")))).where(F.col("r") <= n)
-    return sorted(r.t for r in ranked.collect())
+    return sorted(r.t for r in bounded(ranked, most, f"words of {column}"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import first_contained
+from ..functions.columns import first_contained, key128
 from ..functions.similarity import BATTERY, score_pairs
 from ..functions.text import normalise, top_words
 from ..sources.scratch import materialise
@@ -38,26 +38,47 @@ def clean_holdings(holdings: DataFrame, spec: HoldingsSpec = HoldingsSpec()) ->
     return rows.join(good, "Owner_ID", "left_semi"), split_duplicates(owners, "Owner_ID")
 
 
-def link_pass(register: DataFrame, owners: DataFrame, step: LinkPass) -> DataFrame:
-    """(name_, Owner_Name, Owner_ID, idbr_name, esa) of the names that are unique on both sides and equal once normalised."""
-    right = register.select("idbr_name", "esa", normalise(F.col("idbr_name"), step.text).alias("name_"))
-    right = split_unique(one_row_per(right, ["name_", "esa"]), "name_")
-    left = split_unique(owners.select("Owner_ID", "Owner_Name", normalise(F.col("Owner_Name"), step.text).alias("name_")), "name_")
-    long_enough = F.size("name_") >= step.min_tokens
-    found = left.where(long_enough).join(right.where(long_enough), "name_")
-    return found.select("name_", "Owner_Name", "Owner_ID", "idbr_name", "esa")
+def _normalised(df: DataFrame, column: str, step: LinkPass, *keep: Column) -> DataFrame:
+    """A narrow row for each name: what to keep, and a, b, the hash of its normalised form, if that has enough tokens."""
+    rows = df.select(*keep, normalise(F.col(column), step.text).alias("name_"))
+    one, two = key128(F.col("name_"))
+    return rows.where(F.col("name_").isNotNull()).select(*(c for c in rows.columns if c != "name_"), one.alias("a"), two.alias("b"), F.size("name_").alias("n_tokens"))
+
+
+def link_pass(register: DataFrame, owners: DataFrame, step: LinkPass, linked: DataFrame | None = None) -> DataFrame:
+    """(Owner_ID, esa, idbr_name) of the names that are unique on both sides and equal once normalised.
+
+    A register's name is unique if all rows of its normalised form have one sector; the
+    least name stands for them. Names travel as 128-bit hashes; texts are fetched for
+    what has matched only. `linked` (Owner_ID, idbr_name) takes no part.
+    """
+    names = key128(F.col("idbr_name"))
+    right = _normalised(register, "idbr_name", step, names[0].alias("k"), names[1].alias("l"), F.col("esa"))
+    left = _normalised(owners, "Owner_Name", step, F.col("Owner_ID"))
+    if linked is not None:
+        gone = linked.select(*(c.alias(n) for c, n in zip(names, "kl")))
+        right = right.join(gone, ["k", "l"], "left_anti")
+        left = left.join(linked.select("Owner_ID"), "Owner_ID", "left_anti")
+    sector = F.struct("esa")
+    forms = right.groupBy("a", "b").agg(F.min(sector).alias("least"), F.max(sector).alias("most"), F.max("n_tokens").alias("n"))
+    forms = forms.where(F.col("least").eqNullSafe(F.col("most")) & (F.col("n") >= step.min_tokens)).select("a", "b", F.col("least.esa").alias("esa"))
+    single = left.groupBy("a", "b").agg(F.count("*").alias("rows"), F.first("Owner_ID").alias("Owner_ID")).where("rows = 1").drop("rows")
+    matched = materialise(single.join(forms, ["a", "b"]), "forms")
+    keys = right.select("k", "l", "a", "b").join(matched, ["a", "b"])
+    texts = register.select("idbr_name", *(c.alias(n) for c, n in zip(names, "kl"))).join(keys.distinct(), ["k", "l"])
+    return texts.groupBy("a", "b").agg(F.first("Owner_ID").alias("Owner_ID"), F.first("esa").alias("esa"), F.min("idbr_name").alias("idbr_name")).drop("a", "b")
 
 
 def link(register: DataFrame, owners: DataFrame, passes: Sequence[LinkPass] = PASSES) -> tuple[DataFrame, DataFrame]:
     """(the register's unmatched rows, labels Owner_ID and esa); each pass sees what the ones before have left."""
-    labels = None
+    linked = None
     for step in passes:
-        found = materialise(link_pass(register, owners, step), "matched")  # read three times below
-        register = register.join(found.select("idbr_name"), "idbr_name", "left_anti")
-        owners = owners.join(found.select("Owner_ID"), "Owner_ID", "left_anti")
-        found = found.select("Owner_ID", "esa")
-        labels = found if labels is None else labels.unionByName(found)
-    return register, labels
+        found = materialise(link_pass(register, owners, step, linked), "matched")
+        linked = found if linked is None else linked.unionByName(found)
+    names = key128(F.col("idbr_name"))
+    gone = linked.select(*(c.alias(n) for c, n in zip(names, ("__k", "__l"))))
+    rest = register.join(gone, (names[0] == gone["__k"]) & (names[1] == gone["__l"]), "left_anti")
+    return rest, linked.select("Owner_ID", "esa")
 
 
 def attach_owner(ids: DataFrame, holdings: DataFrame, owner_cols: Sequence[str]) -> DataFrame:

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..specs import ModelSpec
+from .profile import estimated_bytes
 from .relational import class_weights
-from .sampling import stratified_train_test_split
+from .sampling import stratified_folds, stratified_train_test_split
 
-WEIGHT = "__weight"
+WEIGHT, FOLD = "__weight", "__fold"
 
 
 @dataclass
@@ -29,7 +30,7 @@ class Fitted:
 
 def label_pipeline(df: DataFrame, spec: ModelSpec) -> tuple[Pipeline, RandomForestClassifier]:
     """Index the target, impute medians, encode strings, and grow a forest; strings are categories, all else is a number."""
-    fields = [f for f in df.schema if f.name not in (spec.id_col, spec.target, WEIGHT)]
+    fields = [f for f in df.schema if f.name not in (spec.id_col, spec.target, WEIGHT, FOLD)]
     text = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     numbers = [f.name for f in fields if not isinstance(f.dataType, T.StringType)]
     stages = [StringIndexer(inputCol=spec.target, outputCol="__label", handleInvalid="keep")]
@@ -54,9 +55,24 @@ def fit_labels(df: DataFrame, spec: ModelSpec = ModelSpec()) -> Fitted:
     """Fit on the labelled rows of df: by cross-validation over the grid or, with a test share, by hold-out and a refit on all."""
     labelled = as_numbers(df, spec).where(F.col(spec.target).isNotNull())
     if spec.weighted:
-        labelled = class_weights(labelled, spec.target).withColumnRenamed("weight", WEIGHT)
+        labelled = class_weights(labelled, spec.target, spec.balanced).withColumnRenamed("weight", WEIGHT)
     pipeline, forest = label_pipeline(labelled, spec)
-    labelled = labelled.persist()
+    if spec.stratified_folds and not spec.test_share:
+        labelled = stratified_folds(labelled, spec.target, spec.folds, spec.seed, [spec.id_col], FOLD)
+    labelled = few_partitions(labelled, spec.small_bytes).persist()
+    try:
+        return _fitted(labelled, pipeline, forest, spec)
+    finally:
+        labelled.unpersist()
+
+
+def few_partitions(df: DataFrame, small_bytes: float) -> DataFrame:
+    """df, in one partition for each core at most if it is small, as every step of a fit is a job over all partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(cores) if small_bytes and estimated_bytes(df, 0.1) < small_bytes else df
+
+
+def _fitted(labelled: DataFrame, pipeline: Pipeline, forest: RandomForestClassifier, spec: ModelSpec) -> Fitted:
     accuracy = MulticlassClassificationEvaluator(labelCol="__label", predictionCol="__prediction", metricName="accuracy")
     if spec.test_share:
         train, test = stratified_train_test_split(labelled, spec.target, spec.test_share, spec.seed, [spec.id_col])
@@ -64,7 +80,8 @@ def fit_labels(df: DataFrame, spec: ModelSpec = ModelSpec()) -> Fitted:
         metrics = {"accuracy": accuracy.evaluate(guessed), "f1": accuracy.copy().setMetricName("f1").evaluate(guessed)}
         return Fitted(pipeline.fit(labelled), metrics)
     grid = ParamGridBuilder().addGrid(forest.maxDepth, spec.depths).addGrid(forest.minInstancesPerNode, spec.min_instances).addGrid(forest.numTrees, spec.trees).build()
-    found = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=accuracy, numFolds=spec.folds, seed=spec.seed, parallelism=spec.parallelism).fit(labelled)
+    search = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=accuracy, numFolds=spec.folds, seed=spec.seed, parallelism=spec.parallelism)
+    found = (search.setFoldCol(FOLD) if spec.stratified_folds else search).fit(labelled)
     return Fitted(found.bestModel, {"accuracy": max(found.avgMetrics)})
 
 

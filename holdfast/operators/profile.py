@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..sources.collected import bounded
+from ..sources.scratch import materialise
 from .relational import column_counts
 
 
+MOST_COLUMNS = 1_000
+
+
 def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
@@ -31,7 +36,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, top_n: int = 10
     """
     columns = list(columns or df.columns)
     kinds = dict(df.dtypes)
-    counts = column_counts(df, columns).persist()
+    counts = materialise(column_counts(df, columns), "counts")
     whole = counts.groupBy("column").agg(F.count("*").alias("n_values"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"), F.sum("n").alias("__rows"))
     order = Window.partitionBy("column").orderBy(F.desc("n"), F.col("value").asc_nulls_first())
     top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top_n)
@@ -46,11 +51,25 @@ def frequencies(df: DataFrame, column: str, top_n: int, normalize: bool = False)
 
 
 def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
-    """Counts of rows against columns, a column per sorted value, 0 where there is none."""
-    values = [r[0] for r in df.select(columns).where(F.col(columns).isNotNull()).distinct().orderBy(columns).collect()]
+    """Counts of rows against columns, a column per sorted value, 0 where there is none; an error beyond MOST_COLUMNS values."""
+    values = sorted(r[0] for r in bounded(df.select(columns).where(F.col(columns).isNotNull()).distinct(), MOST_COLUMNS, f"values of {columns}"))
     return df.groupBy(rows).pivot(columns, values).agg(F.count(F.lit(1))).na.fill(0)
 
 
+def bars(counts: DataFrame, value: str, width: int = 40, mark: str = "#") -> DataFrame:
+    """counts with a column `bar`: as many marks as the value's part of the greatest one, of width."""
+    greatest = counts.agg(F.max(value).alias("__greatest"))
+    length = F.coalesce(F.round(F.col(value) / F.col("__greatest") * width).cast("int"), F.lit(0))
+    return counts.crossJoin(F.broadcast(greatest)).select(*counts.columns, F.repeat(F.lit(mark), length).alias("bar"))  # one row
+
+
+def text_table(df: DataFrame, most: int = 20, width: int = 40) -> str:
+    """The first rows as aligned text, cells cut to a width."""
+    rows = [df.columns, *(["" if x is None else str(x)[:width] for x in r] for r in df.limit(most).collect())]
+    wide = [max(len(r[i]) for r in rows) for i in range(len(df.columns))]
+    return "\n".join(" | ".join(x.ljust(n) for x, n in zip(r, wide)).rstrip() for r in rows)
+
+
 def coverage(owners: DataFrame, labels: DataFrame, owner: str = "Owner_ID", label: str = "esa") -> DataFrame:
     """matched, total: how many of the owners have a label."""
     flags = owners.select(owner).distinct().join(labels.select(owner, label).dropDuplicates([owner]), owner, "left")

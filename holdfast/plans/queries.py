@@ -1,43 +1,16 @@
-"""The registered queries of the library's own operators, each beside the SQL that checks it."""
+"""Queries of concentration, joins, linkage, text, features and profiles."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import contains_flags, date_parts, first_contained, parse_date, sanitise_columns
-from ..functions.similarity import METHODS, score_pairs
 from ..functions.text import ENGLISH_STOPWORDS, normalise, vocabulary
-from ..operators import concentration, features, linkage, model, profile, relational, sampling
-from ..session import importable
+from ..operators import concentration, features, linkage, profile, relational
 from ..sources.readers import extract
-from ..specs import EXACT, LOOSE, NAME_KEYWORDS, PASSES, RECOMMEND, ExtractSpec, FeatureSpec, HoldingsSpec, JoinSpec, ModelSpec, RegisterSpec, TextSpec
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function of a table reader under its name, with its SQL."""
-
-    def add(f):
-        def on(spark: SparkSession, sf_dir: str) -> DataFrame:
-            importable(spark)
-            return f(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
-
-        QUERIES[f.__name__] = on
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _rounded(df: DataFrame, **places: int) -> DataFrame:
-    return df.withColumns({c: F.round(c, n) for c, n in places.items()})
-
+from ..specs import EXACT, LOOSE, NAME_KEYWORDS, PASSES, RECOMMEND, ExtractSpec, FeatureSpec, HoldingsSpec, JoinSpec, RegisterSpec, TextSpec
+from .registry import query, rounded
 
 # Concentration
 
@@ -56,12 +29,12 @@ _SHARES = """
 
 @query(_SHARES + " SELECT Owner_ID, round(value, 2) AS value, round(share, 9) AS share, round(cumsum_share, 9) AS cumsum_share, rank FROM ranked WHERE rank <= 10")
 def big_players_rank(read):
-    return _rounded(concentration.big_players(_order_holdings(read), ["Owner_ID"]), value=2, share=9, cumsum_share=9)
+    return rounded(concentration.big_players(_order_holdings(read), ["Owner_ID"]), value=2, share=9, cumsum_share=9)
 
 
 @query(_SHARES + " SELECT Owner_ID, round(value, 2) AS value, round(share, 9) AS share, round(cumsum_share, 9) AS cumsum_share, rank FROM ranked WHERE cumsum_share <= 0.25")
 def big_players_cumshare(read):
-    return _rounded(concentration.big_players(_order_holdings(read), ["Owner_ID"], "cumsum_share", 0.25), value=2, share=9, cumsum_share=9)
+    return rounded(concentration.big_players(_order_holdings(read), ["Owner_ID"], "cumsum_share", 0.25), value=2, share=9, cumsum_share=9)
 
 
 @query(_SHARES + " SELECT o_orderkey, o_custkey AS Owner_ID, o_totalprice AS Value_Held FROM orders WHERE o_custkey NOT IN (SELECT Owner_ID FROM ranked WHERE rank <= 10)")
@@ -107,12 +80,12 @@ def inner_multiplying_join(read):
     return relational.key_join(read("customer"), _urgent(read), "c_custkey", "o_custkey", "inner").select("c_custkey", "c_name")
 
 
-@query("SELECT l_orderkey, l_linenumber, o_orderstatus, c_name, n_name, r_name FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT l_orderkey, l_linenumber, o_orderstatus, c_name, n_name, r_name FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 3 > 0) ON l_orderkey = o_orderkey LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 > 0) ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def join_chain(read):
     frames = {
         "lineitem": read("lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_linenumber"),
-        "orders": read("orders").select(F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("custkey"), "o_orderstatus"),
-        "customer": read("customer").select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey"), "c_name"),
+        "orders": read("orders").where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("custkey"), "o_orderstatus"),
+        "customer": read("customer").where("c_custkey % 4 > 0").select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey"), "c_name"),
         "nation": read("nation").select(F.col("n_nationkey").alias("nationkey"), F.col("n_regionkey").alias("regionkey"), "n_name"),
         "region": read("region").select(F.col("r_regionkey").alias("regionkey"), "r_name"),
     }
@@ -201,7 +174,7 @@ def holdings_ids_dups(read):
 # Text
 
 
-def _normalised_sql(column: str, spec: TextSpec) -> str:
+def normalised_sql(column: str, spec: TextSpec) -> str:
     """The token list of a profile in SQL."""
     s = column
     if spec.lower_case:
@@ -223,17 +196,17 @@ def _joined_tokens(read, table: str, keys: list[str], spec: TextSpec) -> DataFra
     return read(table).select(*keys, F.array_join(normalise(F.col("text"), spec), " ").alias("tokens"))
 
 
-@query(f"SELECT doc_id, array_to_string({_normalised_sql('text', EXACT)}, ' ') AS tokens FROM documents")
+@query(f"SELECT doc_id, array_to_string({normalised_sql('text', EXACT)}, ' ') AS tokens FROM documents")
 def text_normalise_exact(read):
     return _joined_tokens(read, "documents", ["doc_id"], EXACT)
 
 
-@query(f"SELECT doc_id, array_to_string({_normalised_sql('text', LOOSE)}, ' ') AS tokens FROM documents")
+@query(f"SELECT doc_id, array_to_string({normalised_sql('text', LOOSE)}, ' ') AS tokens FROM documents")
 def text_normalise_loose(read):
     return _joined_tokens(read, "documents", ["doc_id"], LOOSE)
 
 
-@query(f"SELECT conv_id, turn, array_to_string({_normalised_sql('text', RECOMMEND)}, ' ') AS tokens FROM conversations")
+@query(f"SELECT conv_id, turn, array_to_string({normalised_sql('text', RECOMMEND)}, ' ') AS tokens FROM conversations")
 def text_normalise_recommend(read):
     return _joined_tokens(read, "conversations", ["conv_id", "turn"], RECOMMEND)
 
@@ -263,117 +236,91 @@ def _sides(read) -> tuple[DataFrame, DataFrame]:
     return register, odd.unionByName(renamed)
 
 
-def _pass_sql(n: int, spec: TextSpec, least: int) -> str:
+def pass_sql(n: int, spec: TextSpec, least: int) -> str:
     return f"""
-    left{n} AS (SELECT Owner_ID, name_ FROM (SELECT Owner_ID, {_normalised_sql("Owner_Name", spec)} AS name_ FROM owners{n}) QUALIFY count(*) OVER (PARTITION BY name_) = 1),
+    left{n} AS (SELECT Owner_ID, name_ FROM (SELECT Owner_ID, {normalised_sql("Owner_Name", spec)} AS name_ FROM owners{n}) QUALIFY count(*) OVER (PARTITION BY name_) = 1),
     right{n} AS (
         SELECT * FROM (
-            SELECT * FROM (SELECT idbr_name, esa, {_normalised_sql("idbr_name", spec)} AS name_ FROM register{n}) QUALIFY row_number() OVER (PARTITION BY name_, esa ORDER BY idbr_name) = 1)
+            SELECT * FROM (SELECT idbr_name, esa, {normalised_sql("idbr_name", spec)} AS name_ FROM register{n}) QUALIFY row_number() OVER (PARTITION BY name_, esa ORDER BY idbr_name) = 1)
         QUALIFY count(*) OVER (PARTITION BY name_) = 1),
     found{n} AS (SELECT * FROM left{n} JOIN right{n} USING (name_) WHERE len(name_) >= {least})"""
 
 
-_LINK = f"""
+LINK = f"""
     WITH register1 AS (SELECT text AS idbr_name, lang AS esa FROM documents WHERE doc_id % 2 = 0),
     owners1 AS (
         SELECT doc_id AS Owner_ID, text AS Owner_Name FROM documents WHERE doc_id % 2 = 1
         UNION ALL SELECT doc_id + 10000000, 'The and ' || text FROM documents WHERE doc_id % 10 = 0),
-    {_pass_sql(1, EXACT, 0)}"""
+    {pass_sql(1, EXACT, 0)}"""
 
 
-@query(_LINK + " SELECT Owner_ID, esa FROM found1")
+@query(LINK + " SELECT Owner_ID, esa FROM found1")
 def link_exact(read):
     return linkage.link(*_sides(read), PASSES[:1])[1]
 
 
-_LINK_TWICE = f"""{_LINK},
+LINK_TWICE = f"""{LINK},
     register2 AS (SELECT * FROM register1 WHERE idbr_name NOT IN (SELECT idbr_name FROM found1)),
     owners2 AS (SELECT * FROM owners1 WHERE Owner_ID NOT IN (SELECT Owner_ID FROM found1)),
-    {_pass_sql(2, LOOSE, 3)}"""
+    {pass_sql(2, LOOSE, 3)}"""
 
 
-@query(_LINK_TWICE + " SELECT Owner_ID, esa FROM found1 UNION ALL SELECT Owner_ID, esa FROM found2")
+@query(LINK_TWICE + " SELECT Owner_ID, esa FROM found1 UNION ALL SELECT Owner_ID, esa FROM found2")
 def link_two_pass(read):
     return linkage.link(*_sides(read))[1]
 
 
-@query(_LINK_TWICE + " SELECT md5(idbr_name) AS name_md5, esa FROM register2 WHERE idbr_name NOT IN (SELECT idbr_name FROM found2)")
+@query(LINK_TWICE + " SELECT md5(idbr_name) AS name_md5, esa FROM register2 WHERE idbr_name NOT IN (SELECT idbr_name FROM found2)")
 def link_rest(read):
     return linkage.link(*_sides(read))[0].select(F.md5(F.col("idbr_name").cast("binary")).alias("name_md5"), "esa")
 
 
-def _part_sides(read) -> tuple[DataFrame, DataFrame]:
+def part_sides(read) -> tuple[DataFrame, DataFrame]:
     parts = read("part")
     owners = parts.select(F.col("p_partkey").alias("Owner_ID"), F.concat(F.lit("The "), F.initcap("p_name")).alias("Owner_Name"))
     return owners, parts.select(F.col("p_name").alias("idbr_name"), F.col("p_brand").alias("esa")).distinct()
 
 
-def _top_words_sql(source: str, column: str, n: int) -> str:
+def top_words_sql(source: str, column: str, n: int) -> str:
     return rf"SELECT t FROM (SELECT t, rank() OVER (ORDER BY count(*) DESC) AS r FROM (SELECT unnest(list_filter(string_split_regex(lower({column}), '\W'), lambda t: length(t) >= 1)) AS t FROM {source}) GROUP BY t) WHERE r <= {n}"
 
 
 @query(f"""
     WITH owners AS (SELECT p_partkey AS Owner_ID, 'The ' || p_name AS Owner_Name FROM part),
     register AS (SELECT DISTINCT p_name AS idbr_name, p_brand AS esa FROM part),
-    common AS (SELECT list(DISTINCT t) AS words FROM ({_top_words_sql("owners", "Owner_Name", 2)} UNION ALL {_top_words_sql("register", "idbr_name", 2)})),
-    l AS (SELECT Owner_ID, list_filter({_normalised_sql("Owner_Name", RECOMMEND)}, lambda t: NOT list_contains(words, t)) AS name_ FROM owners, common),
-    r AS (SELECT idbr_name, esa, list_filter({_normalised_sql("idbr_name", RECOMMEND)}, lambda t: NOT list_contains(words, t)) AS name_ FROM register, common)
+    common AS (SELECT list(DISTINCT t) AS words FROM ({top_words_sql("owners", "Owner_Name", 2)} UNION ALL {top_words_sql("register", "idbr_name", 2)})),
+    l AS (SELECT Owner_ID, list_filter({normalised_sql("Owner_Name", RECOMMEND)}, lambda t: NOT list_contains(words, t)) AS name_ FROM owners, common),
+    r AS (SELECT idbr_name, esa, list_filter({normalised_sql("idbr_name", RECOMMEND)}, lambda t: NOT list_contains(words, t)) AS name_ FROM register, common)
     SELECT Owner_ID, idbr_name, esa FROM l LEFT JOIN r ON l.name_ = r.name_ AND len(r.name_) > 0""")
 def link_candidates(read):
-    return linkage.candidate_pairs(*_part_sides(read), n_common=2).select("Owner_ID", "idbr_name", "esa")
-
-
-@query()
-def recommendations(read):
-    owners, register = _part_sides(read)
-    return linkage.recommend(owners.select("Owner_ID"), owners, register, ["Owner_ID", "Owner_Name"], n_common=2)[0].select("Owner_ID", "Owner_Name", "idbr_name", "esa", *(m for m in METHODS if "tokens" not in m or m == "fuzz_token_sort_ratio"))
-
-
-# Similarity
-
-
-def _name_pairs(read) -> DataFrame:
-    a = read("part").select("p_partkey", F.col("p_name").alias("a"))
-    b = read("part").select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("b"))
-    return a.join(b, "p_partkey")
-
-
-_PAIRS = "(SELECT x.p_partkey AS p_partkey, x.p_name AS a, y.p_name AS b FROM part x JOIN part y ON x.p_partkey = y.p_partkey - 1)"
-_CHARS = "list_distinct(string_split({}, ''))"
-_BOTH = f"len(list_intersect({_CHARS.format('a')}, {_CHARS.format('b')}))"
-_GRAMS = "list_distinct([substr({0}, i, 3) for i in range(1, length({0}) - 1)])"
-_BOTH_GRAMS = f"len(list_intersect({_GRAMS.format('a')}, {_GRAMS.format('b')}))"
-
+    return linkage.candidate_pairs(*part_sides(read), n_common=2).select("Owner_ID", "idbr_name", "esa")
 
-@query(f"SELECT p_partkey, round(1 - jaccard(a, b), 6) AS jaccard_chars, round(1 - {_BOTH_GRAMS} / (len({_GRAMS.format('a')}) + len({_GRAMS.format('b')}) - {_BOTH_GRAMS}), 6) AS jaccard_ngrams_chars, round(1 - 2 * {_BOTH} / (len({_CHARS.format('a')}) + len({_CHARS.format('b')})), 6) AS sorensen, levenshtein(a, b)::INTEGER AS edit_distance, round(jaro_winkler_similarity(a, b), 6) AS pyjaro FROM {_PAIRS}")
-def similarity_scores(read):
-    methods = ("jaccard_chars", "jaccard_ngrams_chars", "sorensen", "edit_distance", "pyjaro")
-    scored = score_pairs(_name_pairs(read), "a", "b", methods).select("p_partkey", *methods)
-    return _rounded(scored, jaccard_chars=6, jaccard_ngrams_chars=6, sorensen=6, pyjaro=6)
 
-
-_WORDS = "list_distinct(string_split({}, ' '))"
-_BOTH_WORDS = f"len(list_intersect({_WORDS.format('a')}, {_WORDS.format('b')}))"
+# Features
 
 
-@query(f"SELECT p_partkey, round(1 - {_BOTH_WORDS} / (len({_WORDS.format('a')}) + len({_WORDS.format('b')}) - {_BOTH_WORDS}), 6) AS jaccard_tokens, 0.0::DOUBLE AS jaccard_ngrams_tokens FROM {_PAIRS}")
-def similarity_tokens(read):
-    scored = score_pairs(_name_pairs(read), "a", "b", ("jaccard_tokens", "jaccard_ngrams_tokens"))
-    return _rounded(scored.select("p_partkey", "jaccard_tokens", "jaccard_ngrams_tokens"), jaccard_tokens=6)
+_SOURCES = "(SELECT doc_id, lang, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN 'rare ' || source WHEN doc_id % 5 < 2 THEN 'often' ELSE source END AS source FROM documents)"
 
 
-@query()
-def similarity_ratios(read):
-    methods = ("fuzz_ratio", "fuzz_partial_ratio", "fuzz_token_sort_ratio", "fuzz_token_set_ratio", "levenshtein", "sequencematcher")
-    return score_pairs(_name_pairs(read), "a", "b", methods).select("p_partkey", *methods)
+def _sources(read) -> DataFrame:
+    part = F.when(F.col("doc_id") % 11 == 0, F.concat(F.lit("rare "), "source")).when(F.col("doc_id") % 5 < 2, "often").otherwise(F.col("source"))
+    return read("documents").select("doc_id", "lang", F.when(F.col("doc_id") % 7 > 0, part).alias("source"))
 
 
-# Features
+@query(f"SELECT doc_id, lang, CASE WHEN source IS NOT NULL AND count(*) OVER (PARTITION BY source) < 0.025 * count(*) OVER () THEN 'other' ELSE source END AS source FROM {_SOURCES}")
+def fold_category_fraction(read):
+    return relational.fold_categories(_sources(read), ["source"], 0.025)
 
 
-@query("SELECT doc_id, lang, CASE WHEN count(*) OVER (PARTITION BY source) < 0.05 * count(*) OVER () THEN 'other' ELSE source END AS source FROM documents")
-def fold_category_fraction(read):
-    return relational.fold_categories(read("documents").select("doc_id", "lang", "source"), ["source"], 0.05)
+@query(f"""
+    WITH counted AS (SELECT *, count(*) OVER (PARTITION BY source) AS n, count(*) OVER (PARTITION BY lang) AS m, count(*) OVER () AS total FROM {_SOURCES}),
+    rare AS (SELECT count(DISTINCT source) FILTER (n < 0.025 * total) AS k, count(DISTINCT lang) FILTER (m < 0.12 * total) AS j FROM counted)
+    SELECT doc_id, CASE WHEN lang IS NOT NULL AND m < 0.12 * total AND j >= 2 THEN 'other' ELSE lang END AS lang,
+           CASE WHEN source IS NOT NULL AND n < 0.025 * total AND k >= 2 THEN 'other' ELSE source END AS source FROM counted, rare""")
+def fold_several_rare(read):
+    """A column with fewer than two rare values is left alone."""
+    once = relational.fold_categories(_sources(read), ["source"], 0.025, min_rare=2)
+    return relational.fold_categories(once, ["lang"], 0.12, min_rare=2)
 
 
 @query("""
@@ -417,7 +364,7 @@ def static_features(read):
 
 @query("SELECT c_custkey, c_mktsegment, round(1 / (n * total), 9) AS weight FROM customer JOIN (SELECT c_mktsegment, count(*) AS n, sum(1 / count(*)) OVER () AS total FROM customer GROUP BY 1) USING (c_mktsegment)")
 def class_weights(read):
-    return _rounded(relational.class_weights(read("customer").select("c_custkey", "c_mktsegment"), "c_mktsegment"), weight=9)
+    return rounded(relational.class_weights(read("customer").select("c_custkey", "c_mktsegment"), "c_mktsegment"), weight=9)
 
 
 @query("SELECT o_orderkey, month(o_orderdate)::INTEGER AS month, day(o_orderdate)::INTEGER AS dayofmonth, (dayofweek(o_orderdate) + 1)::INTEGER AS dayofweek, quarter(o_orderdate)::INTEGER AS quarter FROM orders")
@@ -454,10 +401,12 @@ def unique_values(read):
     return relational.unique(read("part").select(F.nullif(F.col("p_brand"), F.lit("Brand#4")).alias("brand")), "brand")
 
 
-@query("SELECT 'quality' AS \"column\", round(avg((quality IS NULL)::INTEGER) * 100, 6) AS missing_pct FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'n_chars', 0.0 FROM (SELECT 1)")
+@query("SELECT 'quality' AS \"column\", round(avg((quality IS NULL)::INTEGER) * 100, 6) AS missing_pct FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'n_chars', round(avg((n_chars > 2000 OR quality = 1)::INTEGER) * 100, 6) FROM (SELECT n_chars, coalesce(quality, 0) AS quality FROM documents LEFT JOIN labels USING (doc_id))")
 def missing_report(read):
-    joined = read("documents").join(read("labels"), "doc_id", "left").select("quality", "n_chars", "lang")
-    return _rounded(profile.missing_report(joined), missing_pct=6)
+    joined = read("documents").join(read("labels"), "doc_id", "left")
+    long = (F.col("n_chars") > 2000) | (F.coalesce("quality", F.lit(0)) == 1)
+    joined = joined.select("quality", F.when(~long, F.col("n_chars")).alias("n_chars"), "lang")
+    return rounded(profile.missing_report(joined), missing_pct=6)
 
 
 @query("""
@@ -469,12 +418,12 @@ def missing_report(read):
     SELECT "column", 'string' AS dtype, n_values, n_null, place, value, count, round(count / total * 100, 6) AS total_pct FROM ranked WHERE place <= 3""")
 def column_profile(read):
     rows = read("orders").select(F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"), "o_orderpriority")
-    return _rounded(profile.profile(rows, top_n=3), total_pct=6)
+    return rounded(profile.profile(rows, top_n=3), total_pct=6)
 
 
 @query("WITH top AS (SELECT p_brand AS value, count(*) AS n FROM part GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10) SELECT value, round(n / sum(n) OVER (), 9) AS frequency FROM top")
 def top_frequencies(read):
-    return _rounded(profile.frequencies(read("part"), "p_brand", 10, normalize=True), frequency=9)
+    return rounded(profile.frequencies(read("part"), "p_brand", 10, normalize=True), frequency=9)
 
 
 @query(f"SELECT o_orderpriority, {', '.join(f'''count(*) FILTER (o_orderstatus = '{s}') AS {s}''' for s in _STATUSES)} FROM orders GROUP BY 1")
@@ -490,36 +439,3 @@ def coverage_by_value(read):
 @query("SELECT count(quality) AS matched, count(*) AS total FROM documents LEFT JOIN labels USING (doc_id)")
 def coverage_by_number(read):
     return profile.coverage(read("documents"), read("labels"), "doc_id", "quality")
-
-
-# Samples and models: seeded, without SQL
-
-
-@query()
-def stratified_sample(read):
-    return sampling.stratified_sample(read("events"), "event_type", 0.1, 42, ["event_id"])
-
-
-@query()
-def train_test_split(read):
-    train, test = sampling.stratified_train_test_split(read("events"), "event_type", 0.2, 0, ["event_id"])
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-
-
-@query()
-def kmeans_sample(read):
-    return sampling.kmeans_sample(read("lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 1000, 6, 0.8, (4, 0.9), 42, ["l_orderkey", "l_linenumber"])
-
-
-@query()
-def dtree_sample(read):
-    return sampling.dtree_sample(read("lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], "l_returnflag", 1000, 100, 42, ["l_orderkey", "l_linenumber"])
-
-
-@query()
-def label_model(read):
-    docs = read("documents")
-    table = docs.select("doc_id", "lang", "source", "n_chars", F.length(F.regexp_replace("text", "[^!#$%&*]", "")).alias("marks")).join(read("labels").select("doc_id", F.col("quality").cast("string").alias("quality")), "doc_id", "left")
-    spec = ModelSpec(id_col="doc_id", target="quality", depths=(3, 5), min_instances=(10,), trees=(10,))
-    sure, rest, _ = model.label_by_model(table, spec)
-    return sure.select("doc_id", "quality", F.lit(True).alias("sure")).unionByName(rest.select("doc_id", F.col("target_max_prob").alias("quality"), F.lit(False).alias("sure")))

@@ -73,6 +73,7 @@ class RegisterSpec:
     codes: tuple[str, ...] = SECTOR_CODES
 
 
+# The columns of the holdings table, here and in FeatureSpec.
 @dataclass(frozen=True)
 class HoldingsSpec:
     start_date: str = "2016-01-01"
@@ -112,3 +113,10 @@ class ModelSpec:
     min_instances: tuple[int, ...] = (10, 20, 40)
     trees: tuple[int, ...] = (10, 20, 30)
     parallelism: int = 4
+    balanced: bool = False
+    stratified_folds: bool = False
+    small_bytes: float = 1e9
+
+
+# The other grid, of 48 settings, over stratified folds and with balanced classes.
+BALANCED_MODEL = ModelSpec(weighted=True, balanced=True, stratified_folds=True, seed=123, depths=(5, 10, 15, 20), min_instances=(2, 5, 10, 15), trees=(30, 40, 50))

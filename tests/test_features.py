@@ -80,3 +80,32 @@ def test_shape_and_size(table):
     assert A.shape(table) == (5, 7)
     assert A.estimated_bytes(table, 1.0) > 100
     assert A.estimated_bytes(table.limit(0)) == 0
+
+
+def test_narrowest_types_keep_every_value(spark):
+    df = spark.createDataFrame([(127, -129, 2**40, 0.5, 0.1, None), (-128, 5, 1, 2.0, 0.2, None)], "a long, b long, c long, d double, e double, f int")
+    kinds = dict(rows(L.narrowest(df)))
+    assert kinds == {"a": "tinyint", "b": "smallint", "c": "bigint", "d": "float", "e": "double", "f": "int"}
+    assert rows(L.downcast(df)) == rows(df)
+    assert dict(rows(L.narrowest(df.limit(0)))) == {"a": "bigint", "b": "bigint", "c": "bigint", "d": "double", "e": "double", "f": "int"}
+
+
+def test_medians_fill_nulls_and_nans(spark):
+    df = spark.createDataFrame([(1.0, 1), (2.0, None), (4.0, 7), (None, 3), (float("nan"), 3)], "x double, n int")
+    assert sorted(r.x for r in L.impute_medians(df, ["x"]).collect()) == [1, 2, 2, 2, 4]
+    assert sorted(r.n for r in L.impute_medians(df, ["n"], interpolated=True).collect()) == [1, 3, 3, 3, 7]
+    assert L.impute_medians(df.limit(0), ["x"]).count() == 0
+
+
+def test_too_many_categories_are_an_error(spark):
+    df = spark.range(30).selectExpr("cast(id as string) as k", "'a' as r")
+    with pytest.raises(ValueError, match="more than 20 categories"):
+        L.categories(df, ["k"], most=20)
+    with pytest.raises(ValueError, match="values of k"):
+        A.crosstab(spark.range(A.MOST_COLUMNS + 1).selectExpr("cast(id as string) as k", "1 as r"), "r", "k")
+
+
+def test_bars_and_text(spark):
+    df = spark.createDataFrame([("a", 4), ("b", 1), ("c", None)], "k string, n long")
+    assert rows(A.bars(df, "n", 8)) == [("a", 4, "########"), ("b", 1, "##"), ("c", None, "")]
+    assert A.text_table(df, 2) == "k | n\na | 4\nb | 1"

@@ -101,3 +101,38 @@ def test_link_stream(spark, tmp_path):
         assert rows(spark.table("linked").select("Owner_ID", "esa")) == [("2", "S1"), ("4", "S4"), ("5", "S4")]
     finally:
         q.stop()
+
+
+def test_pipeline_from_every_stage(spark, tmp_path):
+    """Each stage reads what the ones before have written, and the later tables come out alike."""
+    from holdfast.plans import pipeline
+    from holdfast.specs import FeatureSpec, ModelSpec
+
+    kinds = ["Bank", "Fund"]
+    names = [f"{a} {b} {c}" for a in ("alpha", "beta", "gamma", "delta") for b in ("north", "south", "east", "west") for c in ("capital", "trust", "house", "partners")]
+    register = spark.createDataFrame([(n, ["S121", "S124"][k % 2], None) for k, n in enumerate(names[:40])], "idbr_name string, esa string, death_date date")
+    data = [(*holding(str(k), n.title() if k % 4 else n + " Ltd", kind=kinds[k % 2], value=str(1 + k % 5)), "GBP" if k % 2 else "USD") for k, n in enumerate(names) for _ in range(2)]
+    holdings = spark.createDataFrame(data, HOLDINGS + ", Currency_Code string")
+    folder = str(tmp_path / "out")
+    register.write.parquet(f"{folder}/register")
+    holdings.write.parquet(f"{folder}/holdings")
+    features = FeatureSpec(static_categorical=("Owner_Type",), static_numerical=(), dynamic_categorical=("Currency_Code",), dynamic_numerical=("Value_Held",), fold_labels_below=1)
+    spec = pipeline.PipelineSpec(maxval=0, features=features, model=ModelSpec(depths=(3,), min_instances=(1,), trees=(5,), folds=2, min_max_prob=0.99))
+    counts = []
+    for stage in pipeline.STAGES:
+        made = pipeline.run(spark, folder, spec, stage)
+        counts.append({n: df.count() for n, df in made.items()})
+    assert all(c == counts[0] for c in counts)
+    n = counts[0]
+    assert n["labels"] == 30 and n["df"] == 64 and n["ml_labels"] + n["manual_labels"] == 34 and n["idbr"] == 10
+    got = {r.Owner_ID: r.esa for r in made["ml_labels"].collect()}
+    assert all(v == ["S121", "S124"][int(k) % 2] for k, v in got.items())
+    assert {r.Owner_ID for r in made["mlabels_rm"].collect()} | {r.Owner_ID for r in made["mlabels_no_rm"].collect()} == {r.Owner_ID for r in made["manual_labels"].collect()}
+
+
+def test_register_rows_of_one_form_and_sector_stand_for_one_name(spark):
+    register = spark.createDataFrame([("Beta One", "S1"), ("one BETA 7", "S1"), ("Gamma Two", None), ("two gamma", None), ("Delta Three", "S1"), ("three delta", None)], "idbr_name string, esa string")
+    owners = spark.createDataFrame([("1", "beta one"), ("2", "gamma TWO"), ("3", "delta three")], "Owner_ID string, Owner_Name string")
+    rest, labels = L.link(register, owners)
+    assert rows(labels) == [("1", "S1"), ("2", None)]
+    assert rows(rest.select("idbr_name")) == [("Delta Three",), ("one BETA 7",), ("three delta",), ("two gamma",)]

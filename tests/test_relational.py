@@ -89,3 +89,30 @@ def test_class_weights_sum_to_one_over_classes(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)], "k string")
     weights = dict(R.class_weights(df, "k").distinct().collect())
     assert weights == pytest.approx({"a": 0.25, "b": 0.75})
+
+
+def test_row_ids_are_the_places_in_the_order(spark):
+    df = spark.createDataFrame([(k * 7 % 50, "x") for k in range(50)] + [(None, "y"), (3, "a")], "k int, w string").repartition(5)
+    got = sorted((tuple(r) for r in R.row_ids(df, ["k"]).collect()), key=lambda r: r[2])
+    assert [r[2] for r in got] == list(range(52))
+    assert [r[0] for r in got] == [None, 0, 1, 2, 3, *range(3, 50)] and got[4][1] == "a"
+    assert R.row_ids(df.limit(0), ["k"]).count() == 0
+
+
+def test_union_by_position_takes_the_first_names(spark):
+    a, b = spark.createDataFrame([(1, "x")], "i int, u string"), spark.createDataFrame([(2, "y")], "j int, v string")
+    assert R.union_by_position(a, b).columns == ["i", "u"] and rows(R.union_by_position(a, b)) == [(1, "x"), (2, "y")]
+
+
+def test_balanced_weights(spark):
+    df = spark.createDataFrame([("a",)] * 3 + [("b",)], "k string")
+    assert dict(R.class_weights(df, "k", balanced=True).distinct().collect()) == pytest.approx({"a": 4 / 6, "b": 2.0})
+
+
+def test_shares_tell_the_values_that_are_left(spark):
+    df = spark.createDataFrame(CATS, "k string")
+    folded, values, nulls = R.fold_shares(df, ["k"], 0.1)
+    assert values == {"k": ["a", "b", "other"]} and nulls == {"k"} and {r.k for r in folded.collect()} == {"a", "b", "other", None}
+    same, values, _ = R.fold_shares(df, ["k"], 0.1, min_rare=2)
+    assert values == {"k": ["a", "b", "c"]} and rows(same) == rows(df)
+    assert R.fold_shares(df.limit(0), ["k"], 0.1)[1] == {"k": []}

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from helpers import rows
+from pyspark.errors import AnalysisException
 
 from holdfast.plans.staging import HOLDINGS_JOINS, HOLDINGS_UNIONS, holdings_files, stage_holdings, stage_register
 from holdfast.sources import readers, writers
@@ -70,3 +71,32 @@ def test_single_file_and_modes(spark, tmp_path):
     assert readers.read_table(spark, str(tmp_path / "one"), "csv").count() == 10
     writers.write_parquet(df, str(tmp_path / "two"), "overwrite")
     assert readers.read_table(spark, str(tmp_path / "two"), schema="id long").count() == 10
+
+
+def test_only_small_tables_go_to_the_driver(spark):
+    from holdfast.sources import collected
+
+    df = spark.range(11).selectExpr("id", "id * 2 as twice")
+    assert collected.collect_map(df, "id", "twice", 11)[5] == 10 and len(collected.to_pandas(df, 11)) == 11
+    for f in (lambda: collected.collect_map(df, "id", "twice", 10), lambda: collected.to_pandas(df, 10)):
+        with pytest.raises(ValueError, match="more than 10"):
+            f()
+    assert rows(collected.from_pandas(spark, collected.to_pandas(df))) == rows(df)
+
+
+def test_scratch_tables_go_when_released_or_out_of_scope(spark):
+    from holdfast.sources import scratch
+
+    def there(df):
+        try:
+            return spark.read.schema("id long").parquet(df._holdfast_scratch).count()
+        except AnalysisException:
+            return None
+
+    kept = scratch.materialise(spark.range(3), "kept")
+    with scratch.scratch_scope():
+        inside = scratch.materialise(spark.range(4), "inside")
+        assert there(inside) == 4
+    assert there(inside) is None and there(kept) == 3
+    scratch.release(kept)
+    assert there(kept) is None
