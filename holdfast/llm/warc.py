@@ -107,8 +107,10 @@ def payload_chunks(decided: DataFrame, size: int = CHUNK) -> DataFrame:
     """The record and chunk rows of `decide`: a response's payload in pieces of at most size bytes, a revisit's single row without data."""
     own = F.col("refers_to").isNull()
     last = F.when(own, F.greatest(F.ceil(F.col("payload_bytes") / size), F.lit(1)) - 1).otherwise(F.lit(0)).cast("int")
+    # a payload of one chunk is handed on as it is
+    data = F.when(own & (F.col("last") == 0), F.col("payload")).when(own, F.substring("payload", F.col("chunk") * size + 1, F.lit(size)))
     rows = decided.select("*", last.alias("last")).select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("chunk"))
-    return rows.select("page_id", "url", "payload_bytes", "digest", "refers_to", "chunk", (F.col("chunk") == F.col("last")).alias("last"), F.when(own, F.substring("payload", F.col("chunk") * size + 1, F.lit(size))).alias("data"))
+    return rows.select("page_id", "url", "payload_bytes", "digest", "refers_to", "chunk", (F.col("chunk") == F.col("last")).alias("last"), data.alias("data"))
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, chunk: int = CHUNK) -> DataFrame:
