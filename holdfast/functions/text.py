@@ -51,32 +51,50 @@ def tokens(c: Column, min_length: int = 1, unicode: bool = False, lowered: bool
     return F.array_remove(parts, "") if min_length <= 1 else F.filter(parts, lambda t: F.length(t) >= min_length)
 
 
-def remove_stopwords(c: Column, extra: tuple[str, ...] = ()) -> Column:
-    """Stop words go, whatever their case; repeated tokens stay."""
-    words = list(dict.fromkeys(w.lower() for w in (*ENGLISH_STOPWORDS, *extra)))
-    return F.filter(c, lambda t: ~F.lower(t).isin(words))  # a list of this length becomes a hash set
+def remove_stopwords(c: Column, extra: tuple[str, ...] = (), min_length: int = 1, lowered: bool = False) -> Column:
+    """Stop words go, whatever their case (lowered: the tokens are), as do tokens of fewer than min_length characters; repeated tokens stay."""
+    shortest = min_length if min_length > 1 else 0
+    words = [w for w in dict.fromkeys(w.lower() for w in (*ENGLISH_STOPWORDS, *extra)) if len(w) >= shortest]
+
+    def stays(t: Column) -> Column:
+        other = ~(t if lowered else F.lower(t)).isin(words)  # a list of this length becomes a hash set
+        return (F.length(t) >= min_length) & other if shortest else other
+
+    return F.filter(c, stays)
 
 
 def sort_tokens(c: Column) -> Column:
     return F.sort_array(c)  # compiled, unlike array_sort with its comparator; there are no nulls
 
 
-def normalise(c: Column, spec: TextSpec) -> Column:
-    """A string, or its token list if the spec tokenises; null stays null."""
+def cleaned(c: Column, spec: TextSpec) -> Column:
+    """The steps of a spec before its tokens."""
     if spec.lower_case:
         c = lower_case(c)
     if spec.remove_punc:
         c = remove_punc(c, spec.unicode)
     if spec.remove_nums:
         c = remove_nums(c)
-    c = replace_values(c, spec.replace)
-    if not spec.tokenize:
-        return c
-    lowered = spec.lower_case and all(v == v.lower() for v in spec.replace.values())
-    c = tokens(c, spec.min_token_length, spec.unicode, lowered)
+    return replace_values(c, spec.replace)
+
+
+def all_tokens(c: Column, spec: TextSpec) -> Column:
+    """The tokens of a text, before those that the spec leaves out."""
+    return tokens(cleaned(c, spec), 1, spec.unicode, spec.lower_case and all(v == v.lower() for v in spec.replace.values()))
+
+
+def chosen(words: Column, spec: TextSpec) -> Column:
+    """Of all_tokens those that the spec keeps, in its order."""
     if spec.remove_stopwords:
-        c = remove_stopwords(c, spec.extra_stopwords)
-    return sort_tokens(c) if spec.sort_tokens else c
+        words = remove_stopwords(words, spec.extra_stopwords, spec.min_token_length, lowered=True)
+    elif spec.min_token_length > 1:
+        words = F.filter(words, lambda t: F.length(t) >= spec.min_token_length)
+    return sort_tokens(words) if spec.sort_tokens else words
+
+
+def normalise(c: Column, spec: TextSpec) -> Column:
+    """A string, or its token list if the spec tokenises; null stays null."""
+    return chosen(all_tokens(c, spec), spec) if spec.tokenize else cleaned(c, spec)
 
 
 def vocabulary(df: DataFrame, column: str) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import first_contained, key128
 from ..functions.similarity import BATTERY, score_pairs
-from ..functions.text import normalise, top_words
-from ..sources.scratch import materialise
+from ..functions.text import all_tokens, chosen, normalise, top_words
+from ..sources.scratch import materialise, release
 from ..specs import PASSES, RECOMMEND, HoldingsSpec, LinkPass, RegisterSpec, TextSpec
 from .relational import one_row_per, split_duplicates, split_unique
 
@@ -38,44 +38,54 @@ def clean_holdings(holdings: DataFrame, spec: HoldingsSpec = HoldingsSpec()) ->
     return rows.join(good, "Owner_ID", "left_semi"), split_duplicates(owners, "Owner_ID")
 
 
-def _normalised(df: DataFrame, column: str, step: LinkPass, *keep: Column) -> DataFrame:
-    """A narrow row for each name: what to keep, and a, b, the hash of its normalised form, if that has enough tokens."""
-    rows = df.select(*keep, normalise(F.col(column), step.text).alias("name_"))
-    one, two = key128(F.col("name_"))
-    return rows.where(F.col("name_").isNotNull()).select(*(c for c in rows.columns if c != "name_"), one.alias("a"), two.alias("b"), F.size("name_").alias("n_tokens"))
+def name_forms(df: DataFrame, column: str, steps: Sequence[LinkPass], *keep: Column) -> DataFrame:
+    """A narrow row for each name: what to keep and, for each step i, a<i>, b<i>, the hash of its normalised form (null: none), and n<i>, its tokens.
 
-
-def link_pass(register: DataFrame, owners: DataFrame, step: LinkPass, linked: DataFrame | None = None) -> DataFrame:
-    """(Owner_ID, esa, idbr_name) of the names that are unique on both sides and equal once normalised.
-
-    A register's name is unique if all rows of its normalised form have one sector; the
-    least name stands for them. Names travel as 128-bit hashes; texts are fetched for
-    what has matched only. `linked` (Owner_ID, idbr_name) takes no part.
+    Steps that differ only in the tokens they choose share one tokenisation.
     """
+    names = [f"__name{i}" for i in range(len(steps))]
+    bases = [replace(s.text, min_token_length=1, remove_stopwords=False, extra_stopwords=(), sort_tokens=False) for s in steps]
+    first = [bases.index(x) for x in bases]
+    words = df.select(*keep, *(all_tokens(F.col(column), bases[i]).alias(f"__words{i}") for i in sorted(set(first))))
+    kept = words.columns[: len(keep)]
+    chosen_ = words.select(*kept, *(chosen(F.col(f"__words{i}"), s.text).alias(n) for n, i, s in zip(names, first, steps)))
+    cells = [x for i, n in enumerate(names) for x in (*(F.when(F.col(n).isNotNull(), h).alias(f"{c}{i}") for c, h in zip("ab", key128(F.col(n)))), F.size(n).alias(f"n{i}"))]
+    return chosen_.select(*kept, *cells)
+
+
+def _pass(register: DataFrame, right: DataFrame, left: DataFrame, i: int, least: int, linked: DataFrame | None) -> DataFrame:
+    """(Owner_ID, esa, idbr_name) of the names that are unique on both sides and equal in the form of step i."""
     names = key128(F.col("idbr_name"))
-    right = _normalised(register, "idbr_name", step, names[0].alias("k"), names[1].alias("l"), F.col("esa"))
-    left = _normalised(owners, "Owner_Name", step, F.col("Owner_ID"))
+    form = [F.col(f"a{i}").alias("a"), F.col(f"b{i}").alias("b")]
+    right, left = right.where(f"a{i} is not null").select("k", "l", "esa", *form, F.col(f"n{i}").alias("n")), left.where(f"a{i} is not null").select("Owner_ID", *form)
     if linked is not None:
         gone = linked.select(*(c.alias(n) for c, n in zip(names, "kl")))
         right = right.join(gone, ["k", "l"], "left_anti")
         left = left.join(linked.select("Owner_ID"), "Owner_ID", "left_anti")
     sector = F.struct("esa")
-    forms = right.groupBy("a", "b").agg(F.min(sector).alias("least"), F.max(sector).alias("most"), F.max("n_tokens").alias("n"))
-    forms = forms.where(F.col("least").eqNullSafe(F.col("most")) & (F.col("n") >= step.min_tokens)).select("a", "b", F.col("least.esa").alias("esa"))
+    forms = right.groupBy("a", "b").agg(F.min(sector).alias("least"), F.max(sector).alias("most"), F.max("n").alias("n"))
+    forms = forms.where(F.col("least").eqNullSafe(F.col("most")) & (F.col("n") >= least)).select("a", "b", F.col("least.esa").alias("esa"))
     single = left.groupBy("a", "b").agg(F.count("*").alias("rows"), F.first("Owner_ID").alias("Owner_ID")).where("rows = 1").drop("rows")
-    matched = materialise(single.join(forms, ["a", "b"]), "forms")
-    keys = right.select("k", "l", "a", "b").join(matched, ["a", "b"])
-    texts = register.select("idbr_name", *(c.alias(n) for c, n in zip(names, "kl"))).join(keys.distinct(), ["k", "l"])
+    keys = right.select("k", "l", "a", "b").join(single.join(forms, ["a", "b"]), ["a", "b"]).distinct()
+    texts = register.select("idbr_name", *(c.alias(n) for c, n in zip(names, "kl"))).join(keys, ["k", "l"])
     return texts.groupBy("a", "b").agg(F.first("Owner_ID").alias("Owner_ID"), F.first("esa").alias("esa"), F.min("idbr_name").alias("idbr_name")).drop("a", "b")
 
 
 def link(register: DataFrame, owners: DataFrame, passes: Sequence[LinkPass] = PASSES) -> tuple[DataFrame, DataFrame]:
-    """(the register's unmatched rows, labels Owner_ID and esa); each pass sees what the ones before have left."""
+    """(the register's unmatched rows, labels Owner_ID and esa); each pass sees what the ones before have left.
+
+    A register's name is unique if all rows of its normalised form have one sector; the
+    least name stands for them. Names travel as 128-bit hashes; texts are read once for
+    these, and again for what has matched only.
+    """
+    names = key128(F.col("idbr_name"))
+    right = materialise(name_forms(register, "idbr_name", passes, names[0].alias("k"), names[1].alias("l"), F.col("esa")), "register")
+    left = materialise(name_forms(owners, "Owner_Name", passes, F.col("Owner_ID")), "owners")
     linked = None
-    for step in passes:
-        found = materialise(link_pass(register, owners, step, linked), "matched")
+    for i, step in enumerate(passes):
+        found = materialise(_pass(register, right, left, i, step.min_tokens, linked), "matched")
         linked = found if linked is None else linked.unionByName(found)
-    names = key128(F.col("idbr_name"))
+    release(right, left)
     gone = linked.select(*(c.alias(n) for c, n in zip(names, ("__k", "__l"))))
     rest = register.join(gone, (names[0] == gone["__k"]) & (names[1] == gone["__l"]), "left_anti")
     return rest, linked.select("Owner_ID", "esa")
