@@ -98,4 +98,17 @@ ORACLE_SQL: dict[str, str] = {
             FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    # every window of 400 bytes by its MD5; windows that occur twice, their runs, and what lies between
+    "op10_suffix_dedup": """
+        WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        starts AS (SELECT rid, unnest(range(0, greatest(octet_length(b) - 399, 0))) AS i, b FROM docs),
+        windows AS (SELECT rid, i, md5(b[i + 1:i + 400]) AS w FROM starts),
+        repeated AS (SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY w) > 1),
+        marked AS (SELECT rid, i, (i > coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i) + 400, -1))::INTEGER AS new FROM repeated),
+        spans AS (SELECT rid, min(i) AS a, max(i) + 400 AS z FROM (SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS g FROM marked) GROUP BY rid, g),
+        kept AS (SELECT rid, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) AS begin_, a AS end_, z FROM spans),
+        sums AS (SELECT rid, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS last FROM spans GROUP BY rid),
+        pieces AS (SELECT k.rid, string_agg(hex(b[begin_ + 1:end_]), '' ORDER BY begin_) AS h FROM kept k JOIN docs USING (rid) GROUP BY k.rid)
+        SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(h, '') || hex(b[coalesce(last, 0) + 1:octet_length(b)]))) AS kept_sha256
+        FROM docs LEFT JOIN sums USING (rid) LEFT JOIN pieces USING (rid)""",
 }

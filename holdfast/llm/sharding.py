@@ -58,7 +58,7 @@ class Version:
 
 
 class ShardStore:
-    """A sharded table below root, a path of any store that Spark writes."""
+    """A sharded table below root, in a store whose renames are atomic and refuse to replace a file: HDFS, local and mounted file systems."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
