@@ -18,7 +18,7 @@ __all__ = ["importable", "materialise", "partitions", "release", "row_key", "scr
 #: Bytes of text that a Python worker turns into objects at a time.
 SLICE_BYTES = 4 << 20
 #: Bytes of an Arrow batch between Spark and a worker. Spark's own bound is DEFAULT; its buffers double as they grow, so tasks would hold some times that.
-BATCH_BYTES, DEFAULT, SETTING = 16 << 20, 64 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, DEFAULT, SETTING = 4 << 20, 64 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def importable(spark: SparkSession) -> None:
