@@ -16,7 +16,7 @@ from ..sources.scratch import materialise, release, scratch_path, shared_dir
 __all__ = ["importable", "materialise", "partitions", "release", "row_key", "scratch", "shared_dir", "slices", "texts"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of an Arrow batch between Spark and a worker. Spark's own bound is DEFAULT; its buffers double as they grow, so tasks would hold some times that.
 BATCH_BYTES, DEFAULT, SETTING = 4 << 20, 64 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 

@@ -68,6 +68,8 @@ SHARD_WORDS = 500_000
 SHARD_TOKENS = 2_000_000
 #: Words, and rows, that a task counts before it hands counts on, and rows that it looks up together.
 HELD_WORDS = 1_000_000
+#: Bytes of text that share a list of distinct words.
+SLICE = 4 << 20
 HELD_ROWS = 1_000_000
 
 
@@ -180,7 +182,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
             return pa.RecordBatch.from_arrays([pa.array(high[first].view(np.int64)), pa.array(low[first].view(np.int64)), pa.array(np.add.reduceat(n[order], first))], names=["high", "low", "n"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             x = Tokens(batch.column("text"))
             n = np.bincount(x.index, minlength=len(x.words))
             some = np.flatnonzero(n)
@@ -416,7 +418,7 @@ def train(docs: DataFrame) -> Trie:
             packed = [(k, _pack(u[at], v[at], w[at], n[at], size)) for k, at in _groups(trie.shard(u, v))]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in packed], pa.int32()), pa.array([r[1] for r in packed], pa.binary())], names=["shard", "rows"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             x = Numbered(batch.column("text"), vocabulary)
             held.append(rows_of(x.number, x.lengths, x.end, size))
             if sum(len(u) for u, _, _ in held) >= HELD_ROWS:
@@ -497,7 +499,7 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = Round()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             now.add(batch.column("doc_id"), batch.column("text"), trie.vocabulary)
             if now.rows >= HELD_ROWS:
                 yield now.scores(trie)
