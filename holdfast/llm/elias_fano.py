@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import json
-import os
-import shutil
-import tempfile
 import uuid
 from collections import OrderedDict
 
@@ -137,38 +133,35 @@ def save(uri: str, arrays: dict[str, np.ndarray]) -> None:
         fs.delete_file(part)
 
 
-#: Files that a worker keeps open.
-OPEN = 512
-_open: OrderedDict[str, dict[str, np.ndarray] | None] = OrderedDict()
-_copies: list[str] = []
+#: Files that a worker keeps open, and bytes of those that it cannot map.
+OPEN, READ_BYTES = 512, 256 << 20
+_open: OrderedDict[str, tuple[dict[str, np.ndarray] | None, int]] = OrderedDict()  # the arrays, and the bytes that were read for them
 
 
-def _copy_of(path: str) -> str:
-    if not _copies:
-        _copies.append(tempfile.mkdtemp(prefix="holdfast-levels-"))
-        atexit.register(shutil.rmtree, _copies[0], ignore_errors=True)
-    return os.path.join(_copies[0], path.replace("/", "_"))
+def _mounted(fs: pyarrow.fs.FileSystem) -> bool:
+    return isinstance(fs, pyarrow.fs.LocalFileSystem)
 
 
 def load(uri: str) -> dict[str, np.ndarray] | None:
-    """The arrays of a file, memory-mapped: the file itself where the store is a mounted file system, else a copy; None if there is no such file."""
+    """The arrays of a file, memory-mapped where the store is a mounted file system, else read; None if there is no such file."""
     if uri in _open:
         _open.move_to_end(uri)
-        return _open[uri]
+        return _open[uri][0]
     fs, path = pyarrow.fs.FileSystem.from_uri(uri)
-    own, found = isinstance(fs, pyarrow.fs.LocalFileSystem), None
+    found, read = None, 0
     if fs.get_file_info(path).type == pyarrow.fs.FileType.File:
-        if not own:
-            pyarrow.fs.copy_files(uri, _copy_of(path))
-        raw = np.memmap(path if own else _copy_of(path), np.uint8, "r")
-        if not own:
-            os.unlink(_copy_of(path))  # its bytes go once it is no longer mapped
+        if _mounted(fs):
+            raw = np.memmap(path, np.uint8, "r")
+        else:
+            with fs.open_input_file(path) as file:
+                raw = np.frombuffer(file.read_buffer(), np.uint8)
+            read = len(raw)
         size = int.from_bytes(raw[:8].tobytes(), "little")
         places = json.loads(raw[8 : 8 + size].tobytes())
         body = np.asarray(raw[8 + size :])
         found = {name: body[at : at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, at, n) in places.items()}
-    _open[uri] = found
-    while len(_open) > OPEN:
+    _open[uri] = found, read
+    while len(_open) > OPEN or len(_open) > 1 and sum(n for _, n in _open.values()) > READ_BYTES:
         _open.popitem(last=False)
     return found
 
