@@ -332,7 +332,7 @@ def test_only_so_many_files_stay_open(tmp_path, monkeypatch):
     assert elias_fano.load(f"file://{tmp_path}/none.level") is None
     assert len(elias_fano._open) <= 3 and len(list(tmp_path.iterdir())) == 6
     monkeypatch.setattr(elias_fano, "_mounted", lambda fs: False)  # a store whose files cannot be mapped
-    monkeypatch.setattr(elias_fano, "READ_BYTES", 100)
+    monkeypatch.setattr(elias_fano, "READ_BYTES", 50)
     elias_fano._open.clear()
     assert [elias_fano.load(f"file://{tmp_path}/{k}.level")["x"][0] for k in range(6)] == list(range(6))
     assert len(elias_fano._open) == 1
