@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .quantiles import lower, quantiles
 
 #: Most rows that the sweep over numbers of clusters fits on.
 SWEEP_ROWS = 200_000
@@ -75,9 +76,9 @@ def stratified_folds(df: DataFrame, target: str, folds: int, seed: int = 0, keys
 
 
 def exact_test_split(df: DataFrame, target: str, p_test: float, seed: int = 0, keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with the test share exact in each stratum, up to rounding: the cut is a quantile of the rows' draws, not a sort of the stratum."""
+    """(train, test) with the test share exact in each stratum, up to rounding: the cut is the exact quantile of the rows' draws, without a sort of the stratum."""
     rows = df.withColumn("__draw", drawn(list(keys or df.columns), seed))
-    cuts = rows.groupBy(F.col(target).alias("__stratum")).agg(F.percentile_approx("__draw", share_of(df, p_test), 100_000).alias("__cut"))
+    cuts = quantiles(rows, F.col("__draw"), [lower(share_of(df, p_test))], F.col(target)).select(F.col("__class").alias("__stratum"), F.col("__cuts")[0].alias("__cut"))
     marked = rows.join(cuts, rows[target].eqNullSafe(cuts["__stratum"]))
     return tuple(marked.where(c).select(*df.columns) for c in (F.col("__draw") > F.col("__cut"), F.col("__draw") <= F.col("__cut")))
 
