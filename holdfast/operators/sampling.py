@@ -67,10 +67,9 @@ def stratified_train_test_split(df: DataFrame, target: str, p_test: float | dict
 
 
 def stratified_folds(df: DataFrame, target: str, folds: int, seed: int = 0, keys: Sequence[str] | None = None, name: str = "fold") -> DataFrame:
-    """df with a fold from 0 in which every class has its share of rows, to one: the cuts are quantiles of each class's draws, so no class is sorted in one task."""
+    """df with a fold from 0 in which every class has its share of rows, to one: the cuts are exact quantiles of each class's draws, so no class is sorted in one task."""
     rows = df.withColumn("__draw", drawn(list(keys or df.columns), seed))
-    parts = [k / folds for k in range(1, folds)]
-    cuts = rows.groupBy(F.col(target).alias("__class")).agg(F.percentile_approx("__draw", parts, 100_000).alias("__cuts"))
+    cuts = quantiles(rows, F.col("__draw"), [lower(k / folds) for k in range(1, folds)], F.col(target))
     marked = rows.join(cuts, rows[target].eqNullSafe(cuts["__class"]))
     return marked.withColumn(name, F.size(F.filter("__cuts", lambda c: c < F.col("__draw")))).select(*df.columns, name)
 

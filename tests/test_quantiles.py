@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from holdfast.operators import quantiles as module
 from holdfast.operators.quantiles import lower, quantiles
-from holdfast.operators.sampling import exact_test_split
+from holdfast.operators.sampling import exact_test_split, stratified_folds
 
 ROWS = 600_000
 
@@ -13,6 +13,12 @@ def test_exact_test_split_is_exact_in_a_large_stratum(spark):
     assert (train.count(), test.count()) == (ROWS * 4 // 5, ROWS // 5)
 
 
+def test_folds_are_even_in_a_large_class(spark):
+    rows = spark.range(ROWS).withColumn("target", F.when(F.col("id") % 100 > 0, "a"))
+    folds = stratified_folds(rows, "target", 3, 1, ["id"]).groupBy("target", "fold").count().collect()
+    assert sorted((r.target or "", r["count"]) for r in folds) == [("", ROWS // 300)] * 3 + [("a", ROWS * 99 // 300)] * 3
+
+
 def test_small_groups_nulls_and_ties(spark):
     rows = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 2.0), ("a", None), (None, 5.0), (None, 7.0), ("b", None)], "g string, x double")
     got = {r["__class"]: r["__cuts"] for r in quantiles(rows, F.col("x"), [lower(0.5), *module.MIDDLE], F.col("g")).collect()}
