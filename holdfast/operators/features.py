@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.columns import contains_flags, date_parts, quoted, sanitise_columns
 from ..sources.collected import bounded
 from ..specs import FeatureSpec
+from .quantiles import MIDDLE, lower, quantiles
 from .relational import fold_categories, fold_shares, one_row_per
 
 NULL_NAME = "Null"
@@ -94,10 +95,13 @@ def downcast(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 def impute_medians(df: DataFrame, columns: Sequence[str], interpolated: bool = False) -> DataFrame:
     """df with nulls and NaNs of the columns replaced by the median: the lower one or, interpolated, the mean of the middle two; doubles."""
+    names = df.columns
     known = {c: F.when(~F.isnan(quoted(c).cast("double")), quoted(c).cast("double")) for c in columns}
-    middle = F.median if interpolated else lambda x: F.percentile_approx(x, 0.5, 100_000)
-    medians = df.agg(*(middle(x).alias(f"__median {c}") for c, x in known.items()))
-    return df.crossJoin(F.broadcast(medians)).select(*((F.coalesce(known[c], quoted(f"__median {c}")).alias(c) if c in known else quoted(c)) for c in df.columns))  # one row
+    for c, x in known.items():
+        cuts = quantiles(df, x, MIDDLE if interpolated else [lower(0.5)]).select("__cuts")
+        middle = F.col("__cuts")[0] / 2 + F.col("__cuts")[1] / 2 if interpolated else F.col("__cuts")[0]
+        df = df.crossJoin(F.broadcast(cuts.select(middle.alias(f"__median {c}"))))  # one row
+    return df.select(*((F.coalesce(known[c], quoted(f"__median {c}")).alias(c) if c in known else quoted(c)) for c in names))
 
 
 def feature_table(df: DataFrame, labels: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from holdfast.operators import quantiles as module
+from holdfast.operators.features import impute_medians
 from holdfast.operators.quantiles import lower, quantiles
 from holdfast.operators.sampling import exact_test_split, stratified_folds
 
@@ -19,6 +20,13 @@ def test_folds_are_even_in_a_large_class(spark):
     assert sorted((r.target or "", r["count"]) for r in folds) == [("", ROWS // 300)] * 3 + [("a", ROWS * 99 // 300)] * 3
 
 
+def test_median_is_exact_over_many_values(spark):
+    rows = spark.range(ROWS).select("id", (F.pmod(F.col("id") * 7919, F.lit(ROWS + 1)) * 1.0).alias("x")).withColumn("x", F.when(F.col("id") > 0, F.col("x")))
+    known = sorted(i * 7919 % (ROWS + 1) for i in range(1, ROWS))
+    got = [impute_medians(rows, ["x"], interpolated=i).where("id = 0").first().x for i in (False, True)]
+    assert got == [known[(len(known) - 1) // 2]] * 2
+
+
 def test_small_groups_nulls_and_ties(spark):
     rows = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 2.0), ("a", None), (None, 5.0), (None, 7.0), ("b", None)], "g string, x double")
     got = {r["__class"]: r["__cuts"] for r in quantiles(rows, F.col("x"), [lower(0.5), *module.MIDDLE], F.col("g")).collect()}
