@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -10,9 +10,21 @@ from ..sources.scratch import materialise
 from .relational import one_row_per
 
 
+#: Numbers that this type holds as they are, most sums of money, are summed in it; the sums leave room for 10^10 of them.
+EXACT = "decimal(28,12)"
+
+
+def exact_sum(x: Column) -> Column:
+    """The sum of doubles: whatever the order of the rows, equal values give equal sums, as far as EXACT holds them; the others are added as doubles."""
+    held = x.try_cast(EXACT)
+    whole = F.coalesce(held.cast("double") == x, F.lit(False))
+    exact, rest = F.sum(F.when(whole, held)).cast("double"), F.sum(F.when(~whole, x))
+    return F.when(rest.isNull(), exact).otherwise(rest + F.coalesce(exact, F.lit(0.0)))
+
+
 def owner_totals(holdings: DataFrame, owner: str = "Owner_ID", value: str = "Value_Held") -> DataFrame:
-    """(owner, value): the sum of the values that are numbers."""
-    return holdings.select(owner, F.col(value).try_cast("double").alias("value")).groupBy(owner).agg(F.sum("value").alias("value"))
+    """(owner, value): the sum of the values that are numbers; equal holdings have equal sums, so that they rank alike."""
+    return holdings.select(owner, F.col(value).try_cast("double").alias("value")).groupBy(owner).agg(exact_sum(F.col("value")).alias("value"))
 
 
 def ranked_totals(totals: DataFrame, owner: str, metric: str, maxval: float) -> DataFrame:
@@ -23,7 +35,7 @@ def ranked_totals(totals: DataFrame, owner: str, metric: str, maxval: float) ->
     goes ahead of the running sums of the ranges after it, so no task orders all
     owners.
     """
-    total = totals.agg(F.sum("value").alias("__total"))
+    total = totals.agg(exact_sum(F.col("value")).alias("__total"))
     shares = totals.crossJoin(total).select(owner, "value", F.try_divide("value", "__total").alias("share"))
     order = [F.desc("share"), F.col(owner)]
     if metric == "rank":

@@ -136,3 +136,11 @@ def test_register_rows_of_one_form_and_sector_stand_for_one_name(spark):
     rest, labels = L.link(register, owners)
     assert rows(labels) == [("1", "S1"), ("2", None)]
     assert rows(rest.select("idbr_name")) == [("Delta Three",), ("one BETA 7",), ("three delta",), ("two gamma",)]
+
+
+def test_equal_holdings_in_another_order_rank_alike(spark):
+    parts = [("b", 0.1), ("b", 0.2), ("b", 0.3), ("a", 0.3), ("a", 0.2), ("a", 0.1), ("c", 1e300), ("c", 1e-30), ("d", 5.0), ("d", None)]
+    df = spark.createDataFrame(parts, "Owner_ID string, Value_Held double").coalesce(1)
+    assert {r.Owner_ID: (r.value, r.rank) for r in big_players(df, ["Owner_ID"], "rank", 10).collect()} == {"a": (0.6, 3), "b": (0.6, 3), "c": (1e300, 1), "d": (5.0, 2)}
+    small = df.where("Owner_ID <> 'c'")
+    assert {r.Owner_ID: r.rank for r in big_players(small, ["Owner_ID"], "cumsum_share", 1.1).collect()} == {"a": 2, "b": 2, "d": 1}
