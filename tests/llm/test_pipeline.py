@@ -63,3 +63,30 @@ def test_no_repeated_passage_of_over_50_words_stays(spark):
         words = t.split()
         if all(short[tuple(words[i : i + 49])] == 1 for i in range(len(words) - 48)):
             assert after[k] == t
+
+
+def test_row_groups_are_bounded(spark):
+    """A task that writes texts holds one row group at a time: some MB of it, however much it writes."""
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from holdfast.llm.common import importable, release
+
+    importable(spark)
+    noise = F.concat(*(F.sha2(F.concat_ws("-", "id", F.lit(k)), 512) for k in range(8)))
+    table = materialise(spark.range(0, 48_000, 1, 1).select(noise.alias("text")), "noise")  # 49 MB in one task
+    (name,) = (x.removeprefix("file://").removeprefix("file:") for x in table.inputFiles())
+    meta = pq.ParquetFile(name).metadata
+    sizes = [meta.row_group(k).total_byte_size for k in range(meta.num_row_groups)]
+    release(table)
+    assert sum(sizes) > 48_000_000 and max(sizes) < 16_000_000
+
+
+def test_a_sessions_own_bounds_stay(spark):
+    from holdfast.llm.common import importable
+
+    own = spark.newSession()
+    own.conf.set("parquet.block.size", "1048576")
+    importable(own)
+    assert own.conf.get("parquet.block.size") == "1048576"
+    assert own.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "256"
