@@ -14,6 +14,9 @@ boundary has one such path. Both give the ids of the reference library.
 No piece joins a word's end to the next word's space, and none holds a line
 break, so all paths converge at these points and the search may begin anew
 there: encodings between them are remembered by their text, within a bound.
+A BPE model's words that a batch of texts brings are searched side by side, all
+at a boundary as far from their start at once, and remembered before its texts
+are put together.
 
 Edge cases: a null text is an empty one and has no ids; characters outside the
 vocabulary become their bytes, or the unknown id in a model without bytes; the
@@ -38,7 +41,11 @@ from .common import slices, texts
 
 MARK = "▁"
 CACHE_WORDS = 300_000
+#: Characters of a word that is remembered; characters of words that are searched side by side.
+WORD, BLOCK = 48, 1 << 17
 MOST_NEIGHBOURS = 2000
+#: Pairs of pieces whose verdict the search of many words keeps.
+MOST_PAIRS = 1 << 20
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
@@ -64,6 +71,65 @@ class Memory(dict):
         self[key] = value
 
 
+class Codes:
+    """Numbers by keys that are not negative: a table by open addressing, asked for many keys at a time."""
+
+    def __init__(self, bits: int = 12):
+        self.bits, self.n = bits, 0
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, or -1."""
+        at = self._slot(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.values[at], -1)
+        more = np.flatnonzero((held != keys) & (held >= 0))
+        while len(more):
+            at[more] = (at[more] + 1) & (len(self.keys) - 1)
+            held = self.keys[at[more]]
+            hit = held == keys[more]
+            out[more[hit]] = self.values[at[more[hit]]]
+            more = more[~hit & (held >= 0)]
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add distinct keys that are not held."""
+        self.n += len(keys)
+        if 2 * self.n > len(self.keys):
+            held = self.keys >= 0
+            keys, values, self.bits = np.r_[self.keys[held], keys], np.r_[self.values[held], values], (2 * self.n).bit_length()
+            self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        at = self._slot(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of two that want a place one has it
+            won = self.keys[at] == keys
+            self.values[at[won]] = values[won]
+            keys, values, at = keys[~won], values[~won], (at[~won] + 1) & (len(self.keys) - 1)
+
+
+class Trie:
+    """The pieces' beginnings as numbered nodes, for the search of many words of a BPE model."""
+
+    def __init__(self, model: PieceModel):
+        nodes = {x: k for k, x in enumerate(["", *sorted(model.beginnings)])}
+        letters = sorted(p for p in model.ids if len(p) == 1)
+        self.letter = np.zeros(sys.maxunicode + 1, np.int32)  # 0: no piece by itself
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.letters, self.steps = len(letters) + 1, Codes()
+        steps = [(nodes[x[:-1]] * self.letters + int(self.letter[ord(x[-1])]), k) for x, k in nodes.items() if x and self.letter[ord(x[-1])]]
+        self.steps.put(np.array([x[0] for x in steps], np.int64), np.array([x[1] for x in steps], np.int32))
+        self.piece = np.array([model.ids[x] if x in model.whole else -1 for x in nodes], np.int32)
+        self.text = {k: x for x, k in model.ids.items()}
+        self.length = np.zeros(max(self.text, default=0) + 1, np.int32)
+        for k, x in self.text.items():
+            self.length[k] = len(x)
+        self.pairs = Codes()  # 1: the two may stand side by side
+
+
 class PieceModel:
     """Pieces, scores and kind of a model file; encodes and decodes single texts."""
 
@@ -98,6 +164,7 @@ class PieceModel:
         self.whole = {p for p in self.ids if self.kind != BPE or len(p) == 1 or self.merged(p) == [p]}
         self.splits = not any(re.search(f"[^{MARK}]{MARK}|\n", p) for p in self.ids)
         self.after_space, self.plain = Memory(), Memory()  # ids of words behind a mark, keyed without it, and of other runs
+        self.trie: Trie | None = None
 
     def merged(self, text: str, bound: int = 0) -> list[str] | None:
         """The pieces of a short text by its merges: highest score first, then leftmost; None once a merge spans the bound."""
@@ -176,6 +243,96 @@ class PieceModel:
             raise LookupError(text)
         yield from self._path(last, n - base)
 
+    def _fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """fits() of many pairs of ids."""
+        trie = self.trie
+        keys = a.astype(np.int64) * len(trie.length) + b
+        found = trie.pairs.get(keys)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            fresh, back = np.unique(keys[new], return_inverse=True)
+            text = trie.text
+            made = np.array([self.merged(text[x] + text[y], len(text[x])) is not None for x, y in zip(*(k.tolist() for k in np.divmod(fresh, len(trie.length))))], np.int32)
+            if trie.pairs.n + len(fresh) > MOST_PAIRS:
+                trie.pairs = Codes()
+            trie.pairs.put(fresh, made)
+            found[new] = made[back]
+        return found > 0
+
+    def search_all(self, words: list[str]) -> list[bytes | None]:
+        """search() of many short texts of a BPE model, as encode_run() returns it; None for what it cannot search: characters that are no piece, boundaries without a path."""
+        if self.trie is None:
+            self.trie = Trie(self)
+        trie = self.trie
+        letter = trie.letter[np.frombuffer("".join(x + "\0" for x in words).encode("utf-32-le"), "<u4")]
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        stop = np.cumsum(size) - 1  # where each word's last boundary is
+        start = stop - size + 1
+        letter[stop] = 0  # nothing goes on beyond
+        place = np.arange(len(letter)) - np.repeat(start, size)
+        at, node = np.flatnonzero(letter), np.zeros(1, np.int64)
+        begins, pieces, k = [], [], 0
+        while len(at):  # every piece from every boundary
+            node = trie.steps.get(node * trie.letters + letter[at + k])
+            some = node >= 0
+            at, node, k = at[some], node[some].astype(np.int64), k + 1
+            piece = trie.piece[node]
+            some = piece >= 0
+            begins.append(at[some])
+            pieces.append(piece[some])
+        last = np.full(len(letter), -1, np.int32)  # the piece that ends at a boundary; none yet: -1
+        if begins:
+            begin, piece = np.concatenate(begins), np.concatenate(pieces)
+            order = np.argsort(place[begin], kind="stable")
+            begin, piece = begin[order], piece[order]
+            bounds = np.searchsorted(place[begin], np.arange(size.max() + 1)).tolist()
+            for k, (a, b) in enumerate(zip(bounds, bounds[1:])):  # from the boundaries after k characters
+                at, here = begin[a:b], piece[a:b]
+                if k:
+                    before = last[at]
+                    fit = before >= 0
+                    fit[fit] = self._fit(before[fit], here[fit])
+                    at, here = at[fit], here[fit]
+                last[at + trie.length[here]] = here
+        good = (np.add.reduceat(last < 0, start) == 1) & (np.add.reduceat(letter == 0, start) == 1)
+        on_path, at, least = np.zeros(len(last), bool), stop[good], start[good]
+        while len(at):  # all paths back
+            on_path[at] = True
+            at = at - trie.length[last[at]]
+            some = at > least
+            at, least = at[some], least[some]
+        ids = last[on_path].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.add.reduceat(on_path, start, dtype=np.int64))).tolist()
+        return [ids[a:b] if x else None for a, b, x in zip([0, *ends], ends, good.tolist())]
+
+    def learn(self, found: list[str]) -> None:
+        """Search the words of some texts that are not in memory, many at a time."""
+        if self.kind != BPE or not self.splits or not self.bytes:
+            return
+        behind, first = set(), set()
+        for text in found:
+            lines = text.split("\n")
+            for k, line in enumerate(lines):
+                word, _, rest = line.partition(" ")
+                (behind if self.prefix and not k else first).add(word)
+                behind.update(rest.split(" "))
+        for memory, words, mark in ((self.after_space, behind, MARK), (self.plain, first, "")):
+            new, held = [], 0
+            for word in words:
+                if word and len(word) <= WORD and word not in memory and memory.old(word) is None:
+                    new.append(word)
+                    held += len(word) + 2
+                if held >= BLOCK:
+                    self._remember(memory, new, mark)
+                    new, held = [], 0
+            self._remember(memory, new, mark)
+
+    def _remember(self, memory: Memory, words: list[str], mark: str) -> None:
+        if words:
+            for word, ids in zip(words, self.search_all([mark + x for x in words])):
+                if ids:
+                    memory.add(word, ids)
+
     @staticmethod
     def _path(last: list[str], end: int) -> list[str]:
         found = []
@@ -217,7 +374,7 @@ class PieceModel:
             ids = b"".join([(self.after_space if marked else self.plain).get(parts[0]) or self._word(parts[0], marked), *(self.plain.get(x) or self._word(x, False) for x in (*parts[1:], word[at:]))])
         else:
             ids = self.encode_run(MARK + word if marked else word)
-        if len(word) <= 48:
+        if len(word) <= WORD:
             memory.add(word, ids)
         return ids
 
@@ -267,7 +424,9 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in slices(batches, "text"):
-            found = [pieces.encode(x.decode()) for x in texts(batch.column("text"))]
+            found = [x.decode() for x in texts(batch.column("text"))]
+            pieces.learn(found)
+            found = [pieces.encode(x) for x in found]
             ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))], names=["doc_id", "ids"])
 

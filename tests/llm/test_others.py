@@ -87,6 +87,43 @@ def test_pieces_equal_the_library(library, documents):
         assert model.decode(library.encode(text)).decode() == library.decode(library.encode(text))
 
 
+def test_words_of_a_batch_are_searched_side_by_side(library, documents, monkeypatch):
+    with open(PIECES, "rb") as f:
+        model = pieces.PieceModel(f.read())
+    rnd = random.Random(4)
+    found = [" ".join("".join(rnd.choice("abctionthé.,") for _ in range(rnd.randint(1, 40))) for _ in range(300)) + "\nfirst of a line\n" for _ in range(5)]
+    monkeypatch.setattr(pieces, "BLOCK", 5000)
+    monkeypatch.setattr(pieces, "MOST_PAIRS", 3000)
+    alone = []
+    monkeypatch.setattr(pieces.PieceModel, "search", lambda self, text: alone.append(text) or iter(self.merged(text)))
+    model.learn(found)
+    assert [ids(model, x) for x in found] == [library.encode(x) for x in found]
+    assert alone == []
+    found = [r.text for r in documents.limit(40).collect()]
+    model.learn(found)
+    assert [ids(model, x) for x in found] == [library.encode(x) for x in found]
+
+
+def test_words_that_cannot_be_searched_side_by_side(library):
+    model = pieces.load(PIECES)
+    words = ["▁the", "a\0b", "\0", "😀x", "▁" + "s" * 40, "漢字", "▁\x07"]
+    for word, got in zip(words, model.search_all(words)):
+        assert got == (model.encode_run(word) if set(word) <= model.ids.keys() else None)
+    odd = ["", " ", "a  b", "\n\n", "▁ ▁a", "\0 \0a b", "😀 x😀 y", " a", "a ", "é\n\té  \n a"]
+    model.learn(odd)
+    assert [ids(model, x) for x in odd] == [library.encode(x) for x in odd]
+
+
+def test_codes():
+    rnd, codes, held = random.Random(5), pieces.Codes(2), {}
+    for _ in range(40):
+        new = sorted({rnd.randrange(1 << rnd.choice((4, 40))) for _ in range(rnd.randint(0, 60))} - held.keys())
+        held |= {k: rnd.randrange(1 << 30) for k in new}
+        codes.put(np.array(new, np.int64), np.array([held[k] for k in new], np.int32))
+        ask = list(range(20)) + list(held) + [rnd.randrange(1 << 40) for _ in range(50)]
+        assert codes.get(np.array(ask, np.int64)).tolist() == [held.get(k, -1) for k in ask]
+
+
 def test_ids_are_final_before_the_text_ends(library):
     text = "▁" + "internationalisation" * 400
     seen = []
