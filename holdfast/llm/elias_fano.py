@@ -18,17 +18,38 @@ def _words(bits: np.ndarray, more: int = 1) -> np.ndarray:
     return np.frombuffer(packed.tobytes() + bytes(-len(packed) % 8 + 8 * more), "<u8")
 
 
+_BYTES = U64(0x0101010101010101)
+_TOPS = U64(0x8080808080808080)
+#: The place of the set bit of rank r in byte b, at 256 * r + b.
+_IN_BYTE = np.array([([k for k in range(8) if b >> k & 1] + 8 * [0])[r] for r in range(8) for b in range(256)], np.uint8)
+
+
 def select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The place of the set bit of that rank, from 0."""
-    word, rank, at = word.copy(), rank.astype(np.uint8), np.zeros(len(word), np.uint8)
-    for width in (32, 16, 8, 4, 2, 1):
-        ones = np.bitwise_count(word & U64((1 << width) - 1))
-        up = rank >= ones
-        rank -= ones * up
-        step = up * np.uint8(width)
-        word >>= step
-        at += step
-    return at.astype(np.int64)
+    rank = rank.astype(U64)
+    ones = word - ((word >> U64(1)) & U64(0x5555555555555555))
+    ones = (ones & U64(0x3333333333333333)) + ((ones >> U64(2)) & U64(0x3333333333333333))
+    ones = ((ones + (ones >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _BYTES  # set bits up to and with each byte
+    before = np.bitwise_count(((rank * _BYTES | _TOPS) - ones) & _TOPS).astype(U64) << U64(3)  # bits of bytes that end before it
+    rank -= (ones << U64(8)) >> before & U64(255)
+    return (before + _IN_BYTE[(word >> before & U64(255)) | (rank << U64(8))]).astype(np.int64)
+
+
+def _low_bits(values: np.ndarray, bits: int) -> np.ndarray:
+    """The low bits of each number, one after the other, in 64-bit words and two zero words; 64 numbers fill `bits` words."""
+    blocks = -(-len(values) // 64) if bits else 0
+    columns = np.zeros((64, blocks), "<u8")
+    if bits:
+        padded = np.zeros(64 * blocks, U64)
+        padded[: len(values)] = values & U64((1 << bits) - 1)
+        columns[:] = padded.reshape(blocks, 64).T
+    out = np.zeros((bits, blocks), "<u8")
+    for k in range(64 if bits else 0):
+        word, shift = divmod(k * bits, 64)
+        out[word] |= columns[k] << U64(shift)
+        if shift + bits > 64:
+            out[word + 1] |= columns[k] >> U64(64 - shift)
+    return np.r_[out.T.ravel(), np.zeros(2, "<u8")]
 
 
 class EliasFano:
@@ -45,9 +66,6 @@ class EliasFano:
         """The arrays of a sequence, by FIELDS."""
         values, n = values.astype(U64), len(values)
         bits = max(0, int(values[-1]).bit_length() - max(n, 1).bit_length()) if n else 0
-        step = 1 << 16
-        rows = [np.packbits(((values[i : i + step, None] >> np.arange(bits, dtype=U64)) & U64(1)).astype(np.uint8), bitorder="little") for i in range(0, n, step)] if bits else []
-        packed = b"".join(x.tobytes() for x in rows)
         upper = (values >> U64(bits)).astype(np.int64)
         top = int(upper[-1]) if n else 0
         unary = np.zeros(top + n + 1, np.uint8)
@@ -55,7 +73,7 @@ class EliasFano:
         high = _words(unary, 0)
         ones = np.r_[0, np.cumsum(np.bitwise_count(high), dtype=np.int64)]
         zeros = 64 * np.arange(len(ones), dtype=np.int64) - ones
-        return {"head": np.array([n, bits, top], "<i8"), "low": np.frombuffer(packed + bytes(-len(packed) % 8 + 16), "<u8"), "high": high, "ones": ones.astype("<u4"), "zeros": zeros.astype("<u4")}
+        return {"head": np.array([n, bits, top], "<i8"), "low": _low_bits(values, bits), "high": high, "ones": ones.astype("<u4"), "zeros": zeros.astype("<u4")}
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -63,8 +81,9 @@ class EliasFano:
         at = i.astype(np.int64) * self.bits
         word, shift = at >> 6, (at & 63).astype(U64)
         value = self.low[word] >> shift
-        over = np.where(shift > 0, self.low[word + 1] << ((U64(64) - shift) & U64(63)), U64(0))
-        return (value | over) & U64((1 << self.bits) - 1)
+        value |= (self.low[word + 1] << U64(1)) << (shift ^ U64(63))
+        value &= U64((1 << self.bits) - 1)
+        return value
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """Elements by index."""
@@ -82,6 +101,19 @@ class EliasFano:
         out[inside] = 64 * word + select_in_word(~self.high[word], rank - self.zeros[word].astype(np.int64)) - rank
         return out
 
+    def _group(self, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the elements of high bits `upper`, at most the top ones, begin and end: the ones between two zeros."""
+        start = self._ended(upper - 1)
+        bit = start + upper  # behind the zero before them
+        word, shift = bit >> 6, (bit & 63).astype(U64)
+        after = np.minimum(word + 1, len(self.high) - 1)  # the last word ends in a zero or in the end of all
+        run = (self.high[word] >> shift) | ((self.high[after] << U64(1)) << (shift ^ U64(63)))
+        run = np.bitwise_count(run ^ (run + U64(1))).astype(np.int64) - 1
+        stop = start + run
+        unsure = np.flatnonzero((run >= 63) | (word == len(self.high) - 1))
+        stop[unsure] = self._ended(upper[unsure])
+        return start, stop
+
     def find(self, x: np.ndarray, least: np.ndarray | None = None, most: np.ndarray | None = None) -> np.ndarray:
         """The index of the first element equal to each x, or -1; where given, from index `least` on and before `most`."""
         out = np.full(len(x), -1, np.int64)
@@ -92,19 +124,19 @@ class EliasFano:
             return out
         upper, low = upper[active], x[active] & U64((1 << self.bits) - 1)
         # a group of equal high bits lies between two zeros; its low bits ascend, and it may be long
-        start, stop = self._ended(upper - 1), self._ended(upper)
+        start, stop = self._group(upper)
         if least is not None:
             start, stop = np.maximum(start, least[active]), np.minimum(stop, most[active])
-        end = stop.copy()
-        open_ = np.flatnonzero(start < stop)
-        while len(open_):
-            middle = (start[open_] + stop[open_]) >> 1
+        some = np.flatnonzero(start < stop)
+        active, start, stop, low = active[some], start[some], stop[some], low[some]
+        open_ = np.flatnonzero(stop - start > 1)
+        while len(open_):  # until one element is left, the first that is not less
+            middle = (start[open_] + stop[open_] - 1) >> 1
             less = self._low(middle) < low[open_]
             start[open_[less]] = middle[less] + 1
-            stop[open_[~less]] = middle[~less]
-            open_ = open_[start[open_] < stop[open_]]
-        some = np.flatnonzero(start < end)
-        hit = some[self._low(start[some]) == low[some]]
+            stop[open_[~less]] = middle[~less] + 1
+            open_ = open_[stop[open_] - start[open_] > 1]
+        hit = self._low(start) == low
         out[active[hit]] = start[hit]
         return out
 

@@ -80,18 +80,22 @@ class Tokens:
         parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
         flat = parts.flatten().dictionary_encode()
         place = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        text = np.repeat(np.arange(len(parts)), parts.value_lengths().to_numpy(zero_copy_only=False))
+        lengths = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        text = np.repeat(np.arange(len(parts)), lengths)
         if (void := pc.index(flat.dictionary, "").as_py()) >= 0:  # before leading and after trailing white space
             words = place != void + 1
             place, text = place[words], text[words]
-        self.lengths = np.bincount(text, minlength=len(parts)) + 1
+            lengths = np.bincount(text, minlength=len(parts))
+        self.lengths = lengths + 1
         self.stops = np.cumsum(self.lengths)
         self.starts = self.stops - self.lengths
-        at_word = np.ones(int(self.lengths.sum()), bool)
-        at_word[self.stops - 1] = False
-        self.index = np.zeros(len(at_word), np.int64)
-        self.index[at_word] = place
-        self.words = [END, *flat.dictionary.cast(pa.binary()).to_pylist()]
+        self.index = np.zeros(len(place) + len(parts), np.int64)
+        self.index[np.arange(len(place)) + text] = place  # an END after each text before
+        distinct = flat.dictionary.cast(pa.binary())
+        _, ends, data = distinct.buffers()
+        ends = np.frombuffer(ends, np.int32)[distinct.offset : distinct.offset + len(distinct) + 1].tolist() if len(distinct) else [0]
+        data = data.to_pybytes() if data else b""
+        self.words = [END, *(data[a:b] for a, b in zip(ends, ends[1:]))]
 
 
 def hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -114,6 +118,10 @@ def dequantise(code: np.ndarray) -> np.ndarray:
     return code * (-QUANTISED_RANGE / 65535)
 
 
+#: The probability of each code.
+POWERS = 10 ** dequantise(np.arange(65536))
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """The vocabulary's shards in a folder; find() and of() are for workers."""
@@ -162,6 +170,8 @@ class Vocabulary:
 
 
 def _groups(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if len(shard) and shard.max() < 1 << 16:
+        shard = shard.astype(np.uint16)  # sorted by counting
     order = np.argsort(shard, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
         if len(part):
@@ -248,7 +258,6 @@ class Numbered(Tokens):
         super().__init__(column)
         self.numbers, self.counts = vocabulary.find(*hashes(self.words))
         self.end = int(self.numbers[0])
-        self.number = self.numbers[self.index]
 
 
 def rows_of(number: np.ndarray, lengths: np.ndarray, end: int, none: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,7 +273,17 @@ def row_order(u: np.ndarray, v: np.ndarray, w: np.ndarray, top: int) -> np.ndarr
     bits = int(top).bit_length()
     if 3 * bits <= 63:
         return np.argsort((u << (2 * bits)) | (v << bits) | w)
-    return np.lexsort(((v << bits) | w, u) if 2 * bits <= 63 else (w, v, u))
+    if 2 * bits > 63:
+        return np.lexsort((w, v, u))
+    less = 3 * bits - 63  # low bits of w that find no room: rows alike but for them are sorted by them after
+    key = (u << (2 * bits - less)) | (v << (bits - less)) | (w >> less)
+    order = np.argsort(key)
+    key, w = key[order], w[order]
+    alike = np.r_[False, key[1:] == key[:-1], False]
+    if (alike[1:-1] & (w[1:] < w[:-1])).any():
+        some = np.flatnonzero(alike[1:] | alike[:-1])
+        order[some] = order[some[np.lexsort((w[some], key[some]))]]
+    return order
 
 
 def counted(u: np.ndarray, v: np.ndarray, w: np.ndarray, top: int, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
@@ -276,6 +295,21 @@ def counted(u: np.ndarray, v: np.ndarray, w: np.ndarray, top: int, n: np.ndarray
     return u[first], v[first], w[first], n
 
 
+def counted_ranks(numbers: list[np.ndarray], index: list[np.ndarray], lengths: list[np.ndarray], end: int, size: int) -> tuple[np.ndarray, ...]:
+    """counted() of the rows of some batches' known tokens: places in the batches' lists of numbers. Rows are sorted by places among the numbers that occur, which take fewer bits."""
+    held = np.unique(np.concatenate([*numbers, np.array([end, size])]))
+    number = np.concatenate([np.searchsorted(held, x)[k] for x, k in zip(numbers, index)])
+    u, v, w = rows_of(number, np.concatenate(lengths), int(np.searchsorted(held, end)), len(held) - 1)
+    bits = len(held).bit_length()
+    if 3 * bits > 63:
+        return counted(held[u], held[v], held[w], size)
+    key = (u << (2 * bits)) | (v << bits) | w
+    key.sort()
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    n, key, low = np.diff(np.r_[first, len(key)]), key[first], (1 << bits) - 1
+    return held[key >> (2 * bits)], held[(key >> bits) & low], held[key & low], n
+
+
 @dataclass(frozen=True)
 class Trie:
     vocabulary: Vocabulary
@@ -292,13 +326,13 @@ class Trie:
         return (x % np.uint64(self.shards)).astype(np.int64)
 
     def look_up(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each row of known u and v: log10 p(v | u) (nan: not held), the share of (u, v, w) and the weight of what is shorter."""
+        """Of each row of known u and v: p(v | u) (nan: not held), the share of (u, v, w) and the weight of what is shorter."""
         out = np.full(len(u), np.nan), np.zeros(len(u)), np.ones(len(u))
-        order = row_order(u, v, w + 2, self.vocabulary.size + 2)
-        for k, at in _groups(self.shard(u[order], v[order])):
+        bits = int(self.vocabulary.size).bit_length()
+        for k, at in _groups(self.shard(u, v)):
             level = load(self.file(k))
             if level is not None:
-                rows = order[at]
+                rows = at[np.argsort((u[at] << bits) | v[at]) if 2 * bits <= 63 else np.lexsort((v[at], u[at]))]
                 for to, x in zip(out, find_rows(level, u[rows], v[rows], w[rows], self.vocabulary.size)):
                     to[rows] = x
         return out
@@ -349,7 +383,7 @@ def _within(successors: EliasFano, number: np.ndarray, start: np.ndarray, stop:
 
 
 def find_rows(level: dict[str, np.ndarray], u: np.ndarray, v: np.ndarray, w: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Trie.look_up of the sorted rows of one shard; no w below 0 or from size on has a trigram."""
+    """Trie.look_up of the rows of one shard, sorted by u and v; no w below 0 or from size on has a trigram."""
     new = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])]
     first, back = np.flatnonzero(new), np.cumsum(new) - 1
     one, two = u[first], v[first]
@@ -362,7 +396,7 @@ def find_rows(level: dict[str, np.ndarray], u: np.ndarray, v: np.ndarray, w: np.
     node = _within(successors, two, *ranges[:, np.cumsum(start) - 1])
     held = np.flatnonzero(node >= 0)
     bigram, weight, share = np.full(len(two), np.nan), np.ones(len(two)), np.zeros(len(u))
-    bigram[held], weight[held] = dequantise(level["bigram"][node[held]]), 10 ** dequantise(level["weight"][node[held]])
+    bigram[held], weight[held] = POWERS[level["bigram"][node[held]]], POWERS[level["weight"][node[held]]]
     if len(level["share"]):
         successors = sequence(level, "next_successors")
         ranges = np.zeros((3, len(two)), np.int64)
@@ -370,7 +404,7 @@ def find_rows(level: dict[str, np.ndarray], u: np.ndarray, v: np.ndarray, w: np.
         ask = np.flatnonzero((w >= 0) & (w < size) & (ranges[1] > ranges[0])[back])
         place = _within(successors, w[ask], *ranges[:, back[ask]])
         hit = place >= 0
-        share[ask[hit]] = 10 ** dequantise(level["share"][place[hit]])
+        share[ask[hit]] = POWERS[level["share"][place[hit]]]
     return bigram[back], share, weight[back]
 
 
@@ -411,17 +445,20 @@ def train(docs: DataFrame) -> Trie:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
+        end = -1
 
         def out() -> pa.RecordBatch:
-            u, v, w, n = counted(*(np.concatenate(x) for x in zip(*held)), size)
+            numbers, index, lengths = zip(*held)
+            u, v, w, n = counted_ranks(numbers, index, lengths, end, size)
             held.clear()
             packed = [(k, _pack(u[at], v[at], w[at], n[at], size)) for k, at in _groups(trie.shard(u, v))]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in packed], pa.int32()), pa.array([r[1] for r in packed], pa.binary())], names=["shard", "rows"])
 
         for batch in slices(batches, "text", SLICE):
             x = Numbered(batch.column("text"), vocabulary)
-            held.append(rows_of(x.number, x.lengths, x.end, size))
-            if sum(len(u) for u, _, _ in held) >= HELD_ROWS:
+            end = x.end
+            held.append((x.numbers, x.index, x.lengths))
+            if sum(len(k) for _, k, _ in held) >= HELD_ROWS:
                 yield out()
         if held:
             yield out()
@@ -464,8 +501,8 @@ class Round:
         x = Numbered(found, vocabulary)
         least = vocabulary.total + vocabulary.size + 1
         known = x.numbers >= 0
-        unigram, backoff = np.full(len(known), np.log10(1 / least)), np.zeros(len(known))
-        unigram[known], backoff[known] = vocabulary.of(x.numbers[known], "unigram"), vocabulary.of(x.numbers[known], "backoff")
+        unigram, backoff = np.full(len(known), 1 / least), np.ones(len(known))
+        unigram[known], backoff[known] = 10 ** vocabulary.of(x.numbers[known], "unigram"), 10 ** vocabulary.of(x.numbers[known], "backoff")
         before = np.r_[0, x.index[:-1]]
         before[x.starts] = 0  # the end of a text is the first of the distinct words
         base = np.log10((x.counts + 1) / least)
@@ -473,11 +510,11 @@ class Round:
         self.lengths.append(x.lengths)
         self.known.append(np.add.reduceat(known[x.index].astype(np.int64), x.starts))
         self.base.append(np.add.reduceat(base[x.index], x.starts))
-        self.number.append(x.number)
+        self.number.append(x.numbers[x.index])
         self.unigram.append(unigram[x.index])
         self.backoff.append(backoff[before])
         self.end = x.end
-        self.rows += len(x.number)
+        self.rows += len(x.index)
 
     def scores(self, trie: Trie) -> pa.RecordBatch:
         lengths, number = np.concatenate(self.lengths), np.concatenate(self.number)
@@ -485,12 +522,13 @@ class Round:
         both = np.flatnonzero((u >= 0) & (v >= 0))
         bigram, share, weight = np.full(len(u), np.nan), np.zeros(len(u)), np.ones(len(u))
         bigram[both], share[both], weight[both] = trie.look_up(u[both], v[both], w[both])
-        logp = np.where(np.isnan(bigram), np.concatenate(self.unigram) + np.concatenate(self.backoff), bigram)
+        p = np.where(np.isnan(bigram), np.concatenate(self.unigram) * np.concatenate(self.backoff), bigram)
         starts = np.cumsum(lengths) - lengths
-        inner = np.ones(len(u), bool)
-        inner[starts] = False
-        inner = np.flatnonzero(inner)
-        logp[inner] = np.log10(share[inner - 1] + weight[inner - 1] * 10 ** logp[inner])
+        mixed_in = share[:-1] + weight[:-1] * p[1:]  # a text's first token has the bigram alone
+        first = p[starts]
+        p[1:] = mixed_in
+        p[starts] = first
+        logp = np.log10(p)
         return pa.RecordBatch.from_arrays([pa.concat_arrays(self.ids), pa.array(lengths), pa.array(np.concatenate(self.known)), pa.array(np.concatenate(self.base)), pa.array(np.add.reduceat(logp, starts))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
 

@@ -274,6 +274,32 @@ def test_elias_fano(n, top):
     assert (seq.find(asked) == np.where(hit, at, -1)).all()
 
 
+@pytest.mark.parametrize("bits", [0, 1, 7, 31, 32, 33, 63, 64])
+def test_low_bits_of_any_width(bits):
+    values = np.random.default_rng(bits).integers(0, 2**64, 200, dtype=np.uint64)
+    low = elias_fano._low_bits(values, bits)
+    stream = sum(int(x) << (64 * k) for k, x in enumerate(low.tolist()))
+    assert all(stream >> (k * bits) & ((1 << bits) - 1) == x & ((1 << bits) - 1) for k, x in enumerate(values.tolist()))
+    assert len(low) >= (200 * bits + 63) // 64 + 2
+
+
+def test_select_in_word_and_groups():
+    rnd = random.Random(8)
+    for word in [1, 1 << 63, 2**64 - 1, *(rnd.getrandbits(64) & rnd.getrandbits(64) | 2 for _ in range(50))]:
+        at = [k for k in range(64) if word >> k & 1]
+        assert elias_fano.select_in_word(np.full(len(at), word, np.uint64), np.arange(len(at))).tolist() == at
+    for copies in (1, 5, 63, 64, 65, 200):  # groups that end in, at and beyond a word's end
+        values = np.sort(np.array([x for k in range(40) for x in [k * 97] * (copies if k % 3 == 0 else k % 5)], np.uint64))
+        seq = elias_fano.EliasFano(*elias_fano.EliasFano.build(values).values())
+        asked = np.arange(0, 40 * 97 + 3, dtype=np.uint64)
+        at = np.searchsorted(values, asked)
+        hit = (at < len(values)) & (values[np.minimum(at, len(values) - 1)] == asked)
+        assert (seq.find(asked) == np.where(hit, at, -1)).all()
+        start, stop = seq._group(np.arange(seq.top + 1))
+        high = (values >> np.uint64(seq.bits)).astype(np.int64)
+        assert (start == np.searchsorted(high, np.arange(seq.top + 1))).all() and (stop == np.searchsorted(high, np.arange(seq.top + 1), side="right")).all()
+
+
 def test_elias_fano_with_one_long_group():
     values = np.r_[np.arange(5000), [10**12]].astype(np.uint64)
     seq = elias_fano.EliasFano(*elias_fano.EliasFano.build(values).values())
@@ -322,7 +348,7 @@ def test_rows_sort_alike_at_any_size_of_vocabulary():
     rng = np.random.default_rng(6)
     u, v, w = rng.integers(0, 9, (3, 500))
     want = sorted(Counter(zip(u.tolist(), v.tolist(), w.tolist())).items())
-    for top in (9, 2**24, 2**40):
+    for top in (9, 2**21, 2**24, 2**30, 2**40):
         got = lm_scoring.counted(u, v, w, top)
         assert [((a, b, c), n) for a, b, c, n in zip(*(x.tolist() for x in got))] == want
         back = lm_scoring._unpack(lm_scoring._pack(*got, top), top)
@@ -360,6 +386,20 @@ def test_a_trie_finds_the_numbers_of_its_rows_and_no_others(spark):
         assert y == pytest.approx(triples[a, b, c] / (followed[a, b] + mass), rel=1e-3)
 
 
+def test_tasks_sort_no_rows_twice(monkeypatch):
+    """Of 22 bits a word and more, rows did not fit one key: a task then sorted them by two keys."""
+    rng, size = np.random.default_rng(9), 2**22
+    numbers = [np.sort(rng.choice(size, 50, replace=False)) for _ in range(3)]
+    end = int(numbers[0][0])
+    numbers = [np.r_[end, np.setdiff1d(x, end)[::-1]] for x in numbers]
+    lengths = [rng.integers(1, 9, 40) for _ in numbers]
+    index = [rng.integers(0, len(x), n.sum()) for x, n in zip(numbers, lengths)]
+    want = lm_scoring.counted(*lm_scoring.rows_of(np.concatenate([x[k] for x, k in zip(numbers, index)]), np.concatenate(lengths), end, size), size)
+    monkeypatch.setattr(np, "lexsort", None)
+    got = lm_scoring.counted_ranks(numbers, index, lengths, end, size)
+    assert all((a == b).all() for a, b in zip(got, want))
+
+
 def test_only_so_many_files_stay_open(tmp_path, monkeypatch):
     monkeypatch.setattr(elias_fano, "OPEN", 3)
     for k in range(6):
