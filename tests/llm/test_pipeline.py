@@ -82,6 +82,25 @@ def test_row_groups_are_bounded(spark):
     assert sum(sizes) > 48_000_000 and max(sizes) < 16_000_000
 
 
+def test_row_groups_of_long_texts_are_bounded(spark):
+    """Fewer than 100 texts of 1 MB, and such texts after many short ones."""
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from holdfast.llm.common import importable, release
+
+    importable(spark)
+    numbers = F.sequence(F.lit(1), F.when(F.col("id") < 2000, 1).otherwise(8000))
+    text = F.array_join(F.transform(numbers, lambda k: F.sha2(F.concat_ws("-", "id", k), 512)), "")
+    for first, last in ((2000, 2060), (0, 2060)):
+        table = materialise(spark.range(first, last, 1, 1).select(text.alias("text")), "long")
+        (name,) = (x.removeprefix("file://").removeprefix("file:") for x in table.inputFiles())
+        meta = pq.ParquetFile(name).metadata
+        sizes = [meta.row_group(k).total_byte_size for k in range(meta.num_row_groups)]
+        release(table)
+        assert sum(sizes) > 60_000_000 and max(sizes) < 20_000_000
+
+
 def test_a_sessions_own_bounds_stay(spark):
     from holdfast.llm.common import importable
 
